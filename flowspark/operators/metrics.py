@@ -217,7 +217,7 @@ def roc_curve(df: DataFrame, y: Column, score: Column, decimals: int | None = 6,
         d2 = lambda c: F.lag(c).over(w) - 2 * F.col(c) + F.lead(c).over(w)
         keep = (F.lag("tps").over(w).isNull() | F.lead("tps").over(w).isNull()
                 | (d2("tps") != 0) | (d2("fps") != 0))
-        pts = pts.where(keep)
+        pts = pts.select("*", keep.alias("_keep")).where(F.col("_keep")).drop("_keep")
     curve = pts.select("threshold", (F.col("fps") / F.col("N")).alias("fpr"),
                        (F.col("tps") / F.col("P")).alias("tpr"))
     start = pts.agg(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),

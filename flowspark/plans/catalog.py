@@ -345,7 +345,8 @@ def confusion_binary(spark, sf):
     return m.confusion_binary(fx.rule_scored(spark, sf).scored)
 
 
-@register("confusion_attack", SCORED + """WITH atk AS (SELECT * FROM scored WHERE "Actual" <> 'BENIGN'),
+@register("confusion_attack", SCORED.rstrip() + """,
+atk AS (SELECT * FROM scored WHERE "Actual" <> 'BENIGN'),
 labs AS (SELECT DISTINCT "Actual" AS l FROM atk)
 SELECT a.l AS actual, p.l AS predicted, CAST(count(t.flow_id) AS BIGINT) AS count
 FROM labs a CROSS JOIN labs p LEFT JOIN atk t ON t."Actual" = a.l AND t."Final_Prediction" = p.l
@@ -575,9 +576,8 @@ def flow_with_summary(spark, sf):
 
 
 @register("flow_unpivot", _w(S.FLOWS_SQL.strip()) +
-          "SELECT flow_id, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT INCLUDE NULLS "
-          f"(SELECT flow_id, {', '.join(S.q(n) for n in S.RAW_FEATURES)} FROM flows) ON "
-          f"{', '.join(S.q(n) for n in S.RAW_FEATURES)} INTO NAME feature VALUE value)")
+          "SELECT flow_id, feature, CAST(value AS DOUBLE) AS value FROM flows UNPIVOT INCLUDE NULLS "
+          f"(value FOR feature IN ({', '.join(S.q(n) for n in S.RAW_FEATURES)}))")
 def flow_unpivot(spark, sf):
     """E5/F8: raw features of every flow as (feature, value) rows."""
     return ex.flow_unpivot(flows(spark, sf), S.RAW_FEATURES)
