@@ -36,11 +36,17 @@ def binary_target(label: Column) -> Column:
     return (label != F.lit(config.BENIGN)).cast("int")
 
 
+def is_benign(p: Column, threshold: float = config.ATTACK_THRESHOLD,
+              inclusive: bool = False) -> Column:
+    """``p < t`` is BENIGN in batch scoring, ``p <= t`` in single-flow scoring."""
+    return (p <= F.lit(threshold)) if inclusive else (p < F.lit(threshold))
+
+
 def route_expr(p: Column, threshold: float = config.ATTACK_THRESHOLD,
                inclusive: bool = False) -> Column:
-    """``p < t`` is BENIGN in batch scoring, ``p <= t`` in single-flow scoring."""
-    benign = (p <= F.lit(threshold)) if inclusive else (p < F.lit(threshold))
-    return F.when(benign, F.lit(config.BENIGN)).otherwise(F.lit(config.ATTACK))
+    """the binary route of ``p``."""
+    return F.when(is_benign(p, threshold, inclusive), F.lit(config.BENIGN)) \
+        .otherwise(F.lit(config.ATTACK))
 
 
 def argmax_expr(probs: Column) -> Column:
