@@ -4,15 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from flowspark.plans import catalog  # noqa: F401
-    try:
-        from flowspark.plans import learned  # noqa: F401
-    except ImportError:
-        pass
-    try:
-        from flowspark.plans import streams  # noqa: F401
-    except ImportError:
-        pass
+    from flowspark.plans import catalog, files, learned, streams  # noqa: F401
 
 
 def all_queries():
