@@ -122,7 +122,7 @@ def json_records(spark, sf):
           f"round(q3, {R9}) AS q3, round(scale, {R9}) AS scale FROM scaler")
 def scaler_fit(spark, sf):
     """A3: per-feature quartiles on the (<= 100k rows) sample."""
-    s = sc.fit_scaler(fx.prepared_flows(spark, sf))
+    s = sc.fit_scaler(fx.prepared_flows(spark, sf), absent=fx.ABSENT)
     return _round_cols(s, {"q1", "center", "q3", "scale"})
 
 
@@ -131,7 +131,7 @@ def scaler_fit(spark, sf):
           f"round(min(scale), {R9}) AS scale_min, round(max(scale), {R9}) AS scale_max FROM scaler")
 def scaler_summary(spark, sf):
     """A4: min / max of centers and scales."""
-    out = sc.scaler_summary(sc.fit_scaler(fx.prepared_flows(spark, sf)))
+    out = sc.scaler_summary(sc.fit_scaler(fx.prepared_flows(spark, sf), absent=fx.ABSENT))
     return _round_cols(out, set(out.columns))
 
 

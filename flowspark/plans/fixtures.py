@@ -18,7 +18,8 @@ from flowspark import config
 from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.operators import scaler as sc
-from flowspark.sources.flows import flows, read_table
+from flowspark.session import shared_dir
+from flowspark.sources.flows import FLOW_FEATURES, flows, read_table
 
 # fixed values: sorted attack classes of the flow fixture
 FIXTURE_CLASSES = ["Bot", "DDoS", "PortScan", "SSH-Patator"]
@@ -54,9 +55,22 @@ def prepared_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.prepare(flows(spark, sf_dir))
 
 
+def absent_features(df: DataFrame) -> list[str]:
+    """Model features the raw table does not carry (filled with 0)."""
+    return [n for n in config.FEATURE_ORDER if n not in set(df.columns)]
+
+
+ABSENT = [n for n in config.FEATURE_ORDER if n not in set(FLOW_FEATURES.values())]
+
+
 def scaled_flows(spark: SparkSession, sf_dir: str) -> Scaled:
-    p = prepared_flows(spark, sf_dir)
-    scaler = sc.fit_scaler(p)
+    """Prepared flows are read by the sample count, the quartile fit, the
+    threshold fit and the final projection: they are checkpointed once into
+    the shared folder (lineage cut) instead of being re-derived from the
+    line items four times."""
+    shared_dir(spark)
+    p = prepared_flows(spark, sf_dir).checkpoint()
+    scaler = sc.fit_scaler(p, absent=ABSENT)
     params = sc.scaler_params(scaler)
     return Scaled(sc.apply_scaler(p, params), params, scaler)
 

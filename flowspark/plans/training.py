@@ -49,8 +49,9 @@ def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.
     """Prepare, fit the scaler on its bounded sample, scale, pack, split;
     the result is checkpointed (lineage cut in the shared folder)."""
     shared_dir(spark)
-    prepared = prep.prepare(raw, keep=("flow_id", label_col))
-    params = sc.scaler_params(sc.fit_scaler(prepared))
+    prepared = prep.prepare(raw, keep=("flow_id", label_col)).checkpoint()
+    absent = [n for n in config.FEATURE_ORDER if n not in set(raw.columns)]
+    params = sc.scaler_params(sc.fit_scaler(prepared, absent=absent))
     scaled = prep.pack(sc.apply_scaler(prepared, params))
     labelled = scaled.where(F.col(label_col).isNotNull())          # Q8: null label = unlabelled
     split = smp.split_stratified(labelled, label_col)
