@@ -608,3 +608,13 @@ def running_kpis(spark, sf):
     """Running totals after each batch."""
     from flowspark.streaming.monitor import per_batch, running_totals
     return running_totals(per_batch(fx.stream_rule(fx.events(spark, sf))))
+
+
+@register("result_head", SCORED + f'SELECT flow_id, "Actual", {RESULT} FROM scored '
+          f"ORDER BY {S.md5_key()} LIMIT {config.SMOKE_SAMPLE_ROWS}")
+def result_head(spark, sf):
+    """X1 (n=20) + L4: the smoke run -- 20 repeatably sampled flows, scored,
+    next to their actual label, in flow order."""
+    s = fx.rule_scored(spark, sf).scored.select("flow_id", "Actual", *rt.RESULT_COLUMNS)
+    return smp.sample_exact(s, config.SMOKE_SAMPLE_ROWS).orderBy("flow_id") \
+        .limit(config.RESULT_HEAD_ROWS)
