@@ -238,8 +238,12 @@ def train(spark: SparkSession, train_df: DataFrame, val_df: DataFrame, n_feature
     best, best_p, wait = float("inf"), p.copy(), 0
     for epoch in range(epochs):
         bc = spark.sparkContext.broadcast((p, m, v, t))
-        out = data.mapInPandas(_epoch_fn(bc, widths, lr, batch, epoch, seed), _EPOCH_SCHEMA)
+        # one row per shard (model-sized); persisted so the epoch's training
+        # job runs once for the average and the loss statistics
+        out = data.mapInPandas(_epoch_fn(bc, widths, lr, batch, epoch, seed), _EPOCH_SCHEMA) \
+            .persist()
         state, steps, n_shards, loss_sum = _average(out, 3 * size)
+        out.unpersist()
         bc.unpersist()
         p, m, v = state[:size], state[size:2 * size], state[2 * size:]
         t += max(1, round(steps / max(n_shards, 1)))

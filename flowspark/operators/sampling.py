@@ -92,7 +92,9 @@ def split_stratified(df: DataFrame, label_col: str, fraction: float = config.VAL
     ).fillna(0, subset=["_off"])
     ranked = keyed.withColumn(
         "_r", F.row_number().over(Window.partitionBy(lab, F.col("_b")).orderBy("_k")))
-    joined = ranked.join(F.broadcast(offsets), (lab.eqNullSafe(offsets["_lab"]))
+    # offsets has classes x buckets rows; no broadcast hint: AQE measures its
+    # runtime size and broadcasts it only below the broadcast threshold.
+    joined = ranked.join(offsets, (lab.eqNullSafe(offsets["_lab"]))
                          & (ranked["_b"] == offsets["_b"]), "left")
     rank = F.col("_off") + F.col("_r")
     n_val = F.floor(F.col("_tot") * F.lit(fraction) + F.lit(0.5))

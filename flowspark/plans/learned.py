@@ -138,11 +138,12 @@ def shap_attack(spark, sf):
     bg = _background(b)
     tables = {k: ts.build_tables(ts.read_trees(spark, mk), bg)
               for k, mk in enumerate(b.attack.ovr.models)}
-    scored = tr.score(spark, b).where(F.col("Binary_Route") == config.ATTACK)
+    scored = md.score_two_stage(spark, b.data, b.binary, b.attack, b.auto,
+                                keep=("flow_id", "features"))
     classes = F.array(*[F.lit(c) for c in b.attack.classes])
     cls = (F.array_position(classes, F.col("Final_Prediction")) - 1).cast("int")
-    rows = scored.select("flow_id", cls.alias("cls")).join(b.data.select("flow_id", "features"),
-                                                            "flow_id")
+    rows = scored.where(F.col("Binary_Route") == config.ATTACK) \
+        .select("flow_id", "features", cls.alias("cls"))
     phi = ts.explain(spark, rows, tables, class_col="cls")
     out = ex.top_k_per_row(phi, F.col("shap"), by_abs=True, value_name="shap_value",
                            keep=("flow_id", "cls"))

@@ -52,10 +52,14 @@ def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.
     prepared = prep.prepare(raw, keep=("flow_id", label_col)).checkpoint()
     absent = [n for n in config.FEATURE_ORDER if n not in set(raw.columns)]
     params = sc.scaler_params(sc.fit_scaler(prepared, absent=absent))
-    scaled = prep.pack(sc.apply_scaler(prepared, params))
-    labelled = scaled.where(F.col(label_col).isNotNull())          # Q8: null label = unlabelled
+    return split_table(prep.pack(sc.apply_scaler(prepared, params)), label_col), params
+
+
+def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) -> DataFrame:
+    """Labelled rows with the stratified 80/20 flag, checkpointed."""
+    labelled = scaled_packed.where(F.col(label_col).isNotNull())   # Q8: null label = unlabelled
     split = smp.split_stratified(labelled, label_col)
-    return split.drop("split_rank").checkpoint(), params
+    return split.drop("split_rank").checkpoint()
 
 
 def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = config.LABEL_NAME,
@@ -74,7 +78,15 @@ def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = con
 
 def train(spark: SparkSession, raw: DataFrame, gbt: md.GbtParams = FIXTURE_GBT,
           with_autoencoder: bool = True, label_col: str = config.LABEL_NAME) -> Bundle:
+    """M12 from raw flows."""
     data, params = prepared_table(spark, raw, label_col)
+    return train_prepared(spark, data, params, gbt, with_autoencoder, label_col)
+
+
+def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple[float, float]],
+                   gbt: md.GbtParams = FIXTURE_GBT, with_autoencoder: bool = True,
+                   label_col: str = config.LABEL_NAME) -> Bundle:
+    """M12 from the split, packed, scaled table."""
     auto = train_autoencoder(spark, data, label_col) if with_autoencoder else None
     vec = md.with_vector(data).withColumn("y", rt.binary_target(F.col(label_col)).cast("double"))
     tr, va = vec.where(~F.col("is_val")), vec.where(F.col("is_val"))
@@ -88,10 +100,11 @@ _CACHE: dict[tuple, Bundle] = {}
 
 def bundle_for(spark: SparkSession, sf_dir: str) -> Bundle:
     """The fixture bundle of a dataset, trained once per session."""
-    from flowspark.sources.flows import flows
+    from flowspark.plans.fixtures import scaled_flows
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
-        _CACHE[key] = train(spark, flows(spark, sf_dir))
+        s = scaled_flows(spark, sf_dir)      # the session's scaled table (fitted once)
+        _CACHE[key] = train_prepared(spark, split_table(prep.pack(s.df)), s.params)
     return _CACHE[key]
 
 
