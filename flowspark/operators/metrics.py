@@ -18,6 +18,7 @@ from flowspark import config
 from flowspark.operators.route import binary_label
 
 EPS_LOGLOSS = 1e-15
+MAX_CLASSES = 1000   # class lists read to the driver (pivot values) are capped
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -102,7 +103,10 @@ def confusion_multiclass(scored: DataFrame, actual: str = "Actual",
     Grouped counts are pivoted on the (bounded, driver-read) label list, so
     the zero cells come from the pivot, not from a cross product."""
     atk = scored.where(F.col(actual).isNotNull() & (F.col(actual) != config.BENIGN))
-    labels = [r[0] for r in atk.select(actual).distinct().orderBy(actual).collect()]
+    labels = [r[0] for r in atk.select(actual).distinct().orderBy(actual)
+              .limit(MAX_CLASSES + 1).collect()]
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes: not a class label")
     if not labels:
         return atk.select(F.col(actual).alias("actual"), F.col(pred).alias("predicted"),
                           F.lit(0).cast("long").alias("count")).limit(0)

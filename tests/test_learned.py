@@ -123,3 +123,13 @@ def test_bundle_round_trip(spark, bundle, tmp_shared):
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert loaded.params == bundle.params
     assert loaded.extras["params"]["feature_order"] == config.FEATURE_ORDER
+
+
+def test_stream_equals_batch(spark, bundle):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    streamed = E.queries()["stream_model_score"](spark, SF_SMALL)
+    batch = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto) \
+        .select(*streamed.columns)
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
