@@ -59,10 +59,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def materialize(spark: SparkSession, df, name: str):
-    """Cut lineage: write ``df`` as a parquet table below the shared folder
-    and read it back (survives executor loss; columnar, pruned re-reads)."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
