@@ -64,9 +64,9 @@ def summary_percent(scored: DataFrame) -> DataFrame:
                      F.count_if(~benign).alias("attack_count"), anomaly.alias("anomaly_count"))
     return agg.select(
         "total", "benign_count",
-        (F.lit(100.0) * F.col("benign_count") / F.col("total")).alias("benign_pct"),
+        F.try_divide(F.lit(100.0) * F.col("benign_count"), F.col("total")).alias("benign_pct"),
         "attack_count",
-        (F.lit(100.0) * F.col("attack_count") / F.col("total")).alias("attack_pct"),
+        F.try_divide(F.lit(100.0) * F.col("attack_count"), F.col("total")).alias("attack_pct"),
         "anomaly_count")
 
 
@@ -149,11 +149,11 @@ def classification_report(scored: DataFrame, actual: str, pred: str) -> DataFram
     )
     tot = F.sum("support")
     summ = per.agg(
-        (F.sum("tp") / tot).alias("acc"),
+        F.try_divide(F.sum("tp"), tot).alias("acc"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / tot).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / tot).alias("wr"),
-        (F.sum(F.col("f1_score") * F.col("support")) / tot).alias("wf"),
+        F.try_divide(F.sum(F.col("precision") * F.col("support")), tot).alias("wp"),
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), tot).alias("wr"),
+        F.try_divide(F.sum(F.col("f1_score") * F.col("support")), tot).alias("wf"),
         tot.cast("long").alias("n"))
     nulld = F.lit(None).cast("double")
     extra = summ.select(F.explode(F.array(
@@ -183,8 +183,9 @@ def accuracy_f1(scored: DataFrame, actual: str = "Actual") -> DataFrame:
     atk = lab.where(F.col(actual) != config.BENIGN)
     pc = per_class_counts(atk, actual, "Final_Prediction")
     f1 = _div(2 * F.col("tp"), F.col("support") + F.col("pred"))
-    m = pc.agg((F.sum("tp") / F.sum("support")).alias("attack_accuracy"),
-               (F.sum(f1 * F.col("support")) / F.sum("support")).alias("attack_weighted_f1"))
+    m = pc.agg(F.try_divide(F.sum("tp"), F.sum("support")).alias("attack_accuracy"),
+               F.try_divide(F.sum(f1 * F.col("support")), F.sum("support"))
+               .alias("attack_weighted_f1"))
     return _one_row_pair(b, m)
 
 
@@ -222,8 +223,8 @@ def roc_curve(df: DataFrame, y: Column, score: Column, decimals: int | None = 6,
         keep = (F.lag("tps").over(w).isNull() | F.lead("tps").over(w).isNull()
                 | (d2("tps") != 0) | (d2("fps") != 0))
         pts = pts.select("*", keep.alias("_keep")).where(F.col("_keep")).drop("_keep")
-    curve = pts.select("threshold", (F.col("fps") / F.col("N")).alias("fpr"),
-                       (F.col("tps") / F.col("P")).alias("tpr"))
+    curve = pts.select("threshold", F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
+                       F.try_divide(F.col("tps"), F.col("P")).alias("tpr"))
     start = pts.agg(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
                     F.lit(0.0).alias("tpr"))
     return start.unionByName(curve)
@@ -251,7 +252,7 @@ def anomaly_rate(df: DataFrame, err_col: str, threshold: float) -> DataFrame:
     """Anomaly count and rate (%) of reconstruction errors above the threshold."""
     return df.agg(F.count(F.lit(1)).alias("n"),
                   F.count_if(F.col(err_col) > F.lit(threshold)).alias("anomalies")) \
-        .withColumn("rate_pct", F.lit(100.0) * F.col("anomalies") / F.col("n"))
+        .withColumn("rate_pct", F.try_divide(F.lit(100.0) * F.col("anomalies"), F.col("n")))
 
 
 def log_loss_binary(df: DataFrame, y: Column, p: Column) -> DataFrame:

@@ -84,12 +84,12 @@ def flow_stats(lineitem: DataFrame) -> DataFrame:
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     gap = F.col("day") - F.lag("day").over(w)
     dup_zero = F.when(F.col("n") > 1, F.lit(0))
-    order_mean = F.sum("s").over(w_all) / F.sum("n_len").over(w_all)
+    order_mean = F.try_divide(F.sum("s").over(w_all), F.sum("n_len").over(w_all))
     days = per_day.select(
         "*",
         F.greatest(gap, dup_zero).alias("gap_hi"),
         F.least(gap, dup_zero).alias("gap_lo"),
-        (F.col("m2") + F.col("n_len") * F.pow(F.col("s") / F.col("n_len") - order_mean, 2))
+        (F.col("m2") + F.col("n_len") * F.pow(F.try_divide(F.col("s"), F.col("n_len")) - order_mean, 2))
         .alias("m2c"),
     )
     n_len = F.sum("n_len")
@@ -100,7 +100,7 @@ def flow_stats(lineitem: DataFrame) -> DataFrame:
         F.sum("s").alias("bytes"),
         F.max("mx").alias("mx"),
         F.min("mn").alias("mn"),
-        (F.sum("s") / n_len).alias("av"),
+        F.try_divide(F.sum("s"), n_len).alias("av"),
         F.when(n_len > 1, F.sqrt(F.sum("m2c") / (n_len - 1))).alias("sd"),
         F.max("fmx").alias("fmx"),
         F.max("bmx").alias("bmx"),

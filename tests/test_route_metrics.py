@@ -92,3 +92,19 @@ def test_running_sum_crosses_blocks(spark):
     df = spark.range(0, 50).select(F.col("id").alias("b"), F.lit(2).alias("x"))
     out = {r.b: r.x for r in running_sum(df, "b", ["x"], block=7).collect()}
     assert out == {i: 2 * (i + 1) for i in range(50)}
+
+
+def test_reports_without_attacks_or_rows(spark):
+    s = spark.createDataFrame([(1, "BENIGN", "BENIGN", "BENIGN", 0.9, False)],
+                              "flow_id long, Actual string, Final_Prediction string, "
+                              "Binary_Route string, Confidence double, Anomaly boolean")
+    # no positives: ROC points exist, rates are null instead of a division error
+    roc = m.roc_curve(s, rt.binary_target(F.col("Actual")), F.col("Confidence")).collect()
+    assert roc[0].tpr == 0.0 and roc[-1].tpr is None
+    assert m.attack_distribution(s).count() == 0
+    empty = s.limit(0)
+    summ = m.summary_percent(empty).first()
+    assert summ.total == 0 and summ.benign_pct is None
+    assert m.anomaly_rate(empty.withColumn("e", F.lit(1.0)), "e", 0.5).first().rate_pct is None
+    rep = m.classification_report(empty, "Actual", "Final_Prediction").collect()
+    assert [r["class"] for r in rep] == ["accuracy", "macro avg", "weighted avg"]
