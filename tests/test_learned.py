@@ -133,3 +133,12 @@ def test_stream_equals_batch(spark, bundle):
         .select(*streamed.columns)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_scoring_without_autoencoder(spark, bundle):
+    s = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, None)
+    assert s.where("Anomaly").count() == 0
+    assert s.where(F.col("mse").isNotNull()).count() == 0
+    single = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto,
+                                inclusive=True)
+    assert single.count() == bundle.data.count()
