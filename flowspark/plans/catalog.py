@@ -548,7 +548,7 @@ WHERE rn <= {config.TOP_FEATURES}"""
 
 
 @register("recon_top_features", _w(*S.CHAIN_SCALED) + ", src AS (SELECT * FROM scaled),\n" +
-          _topk_sql(S._sq, "reconstruction_error", False).replace("long AS", "long AS", 1))
+          _topk_sql(S._sq, "reconstruction_error", False))
 def recon_top_features(spark, sf):
     """Per flow, the 15 features with the largest squared
     reconstruction error."""
@@ -595,15 +595,11 @@ def batch_attacks(spark, sf):
 
 
 @register("running_kpis", _w(S.STREAM_RULE) + """SELECT batch,
-  sum(n) OVER w AS total, sum(attacks) OVER w AS attacks, sum(n - attacks) OVER w AS benign,
-  sum(anomalies) OVER w AS anomalies FROM (
-  SELECT batch, count(*) AS n, count_if("Binary_Route" = 'ATTACK') AS attacks,
-         count_if("Anomaly") AS anomalies FROM ev GROUP BY batch)
-WINDOW w AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""".replace(
-    "sum(n) OVER w", "CAST(sum(n) OVER w AS BIGINT)").replace(
-    "sum(attacks) OVER w", "CAST(sum(attacks) OVER w AS BIGINT)").replace(
-    "sum(n - attacks) OVER w", "CAST(sum(n - attacks) OVER w AS BIGINT)").replace(
-    "sum(anomalies) OVER w", "CAST(sum(anomalies) OVER w AS BIGINT)"))
+  CAST(sum(n) OVER w AS BIGINT) AS total, CAST(sum(attacks) OVER w AS BIGINT) AS attacks,
+  CAST(sum(n - attacks) OVER w AS BIGINT) AS benign, CAST(sum(anomalies) OVER w AS BIGINT) AS anomalies
+FROM (SELECT batch, count(*) AS n, count_if("Binary_Route" = 'ATTACK') AS attacks,
+             count_if("Anomaly") AS anomalies FROM ev GROUP BY batch)
+WINDOW w AS (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def running_kpis(spark, sf):
     """Running totals after each batch."""
     from flowspark.streaming.monitor import per_batch, running_totals
