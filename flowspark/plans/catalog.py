@@ -548,7 +548,7 @@ WHERE rn <= {config.TOP_FEATURES}"""
 
 
 @register("recon_top_features", _w(*S.CHAIN_SCALED) + ", src AS (SELECT * FROM scaled),\n" +
-          _topk_sql(S._sq, "reconstruction_error", False))
+          _topk_sql(S.sq_err, "reconstruction_error", False))
 def recon_top_features(spark, sf):
     """Per flow, the 15 features with the largest squared
     reconstruction error."""

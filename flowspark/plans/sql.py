@@ -78,7 +78,7 @@ SCALED = "scaled AS (SELECT p.flow_id, p.\"Label\",\n  " + feature_list(
     "\n FROM prep p CROSS JOIN scw w)"
 
 
-def _sq(n: str) -> str:
+def sq_err(n: str) -> str:
     x = f"CAST({q(n)} AS DOUBLE)"
     d = f"({x} - {x} * CAST({RECON_FACTOR} AS DOUBLE))"
     return f"({d} * {d})"
@@ -91,7 +91,7 @@ def _fold(terms: list[str]) -> str:
     return acc
 
 
-REC = (f"rec AS (SELECT flow_id, \"Label\", {_fold([_sq(n) for n in FEATS])} / {len(FEATS)} "
+REC = (f"rec AS (SELECT flow_id, \"Label\", {_fold([sq_err(n) for n in FEATS])} / {len(FEATS)} "
        f"AS mse FROM scaled)")
 THR = "thr AS (SELECT avg(mse) AS err_mean, stddev_pop(mse) AS err_std, " \
       "avg(mse) + 3 * stddev_pop(mse) AS threshold FROM rec)"
