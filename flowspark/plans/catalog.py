@@ -24,7 +24,7 @@ from flowspark.operators import sampling as smp
 from flowspark.operators import scaler as sc
 from flowspark.plans import fixtures as fx
 from flowspark.plans import sql as S
-from flowspark.sources.flows import FLOW_FEATURES, flows
+from flowspark.sources.flows import FLOW_FEATURES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,7 @@ FLIST = ", ".join(S.q(n) for n in FEATS)
           "SELECT CAST(19 AS INTEGER) AS n_columns, count(*) AS n_rows, true AS has_label FROM flows")
 def flow_profile(spark, sf):
     """Column count, row count, label presence."""
-    f = flows(spark, sf)
+    f = fx.flow_table(spark, sf)
     has_label = any(c.strip().lower() == "label" for c in f.columns)
     return f.agg(F.lit(len(f.columns)).alias("n_columns"), F.count(F.lit(1)).alias("n_rows"),
                  F.lit(has_label).alias("has_label"))
@@ -73,14 +73,14 @@ def flow_profile(spark, sf):
           f"SELECT * FROM flows ORDER BY flow_id LIMIT {config.PREVIEW_ROWS}")
 def flow_preview(spark, sf):
     """First rows (by flow id)."""
-    return flows(spark, sf).orderBy("flow_id").limit(config.PREVIEW_ROWS)
+    return fx.flow_table(spark, sf).orderBy("flow_id").limit(config.PREVIEW_ROWS)
 
 
 @register("feature_order_fill", _w(S.FLOWS_SQL.strip()) + "SELECT flow_id,\n  " +
           S.feature_list((n, S.filled_expr(n)) for n in FEATS) + "\nFROM flows")
 def feature_order_fill(spark, sf):
     """Model feature order, absent features 0, extras dropped."""
-    f = flows(spark, sf)
+    f = fx.flow_table(spark, sf)
     return f.select("flow_id", *prep.filled_features(f))
 
 
@@ -88,7 +88,7 @@ def feature_order_fill(spark, sf):
           S.feature_list((n, f"round({S.log1p_expr(n)}, {R9})") for n in FEATS) + "\nFROM flows")
 def log1p_features(spark, sf):
     """log1p(clip(x, 0)) on the listed columns that are present."""
-    f = flows(spark, sf)
+    f = fx.flow_table(spark, sf)
     return f.select("flow_id", *[r9(c).alias(n) for c, n in zip(prep.log1p_features(f), FEATS)])
 
 
@@ -98,14 +98,14 @@ CLEAN_SQL = _w(*S.CHAIN_PREP) + f"SELECT flow_id, {FLIST} FROM prep"
 @register("clean_features", CLEAN_SQL)
 def clean_features(spark, sf):
     """P5-P10: cleaned, clipped float32 model input."""
-    return prep.prepare(flows(spark, sf), keep=("flow_id",))
+    return prep.prepare(fx.flow_table(spark, sf), keep=("flow_id",))
 
 
 @register("json_records", CLEAN_SQL)
 def json_records(spark, sf):
     """Flows as JSON records ``{feature: value}`` -> ``map<string,double>``
     -> model input (absent keys are 0)."""
-    f = flows(spark, sf, with_label=False)
+    f = fx.flow_table(spark, sf, with_label=False)
     as_json = f.select("flow_id", F.to_json(F.struct(*[fcol(n) for n in FLOW_FEATURES.values()]))
                        .alias("value"))
     parsed = as_json.select("flow_id", F.from_json("value", T.MapType(T.StringType(),
@@ -158,7 +158,7 @@ def matrix_stats(spark, sf):
           "SELECT \"Label\" AS label, count(*) AS count FROM flows GROUP BY 1")
 def label_distribution(spark, sf):
     """A1: class counts."""
-    return m.label_distribution(flows(spark, sf))
+    return m.label_distribution(fx.flow_table(spark, sf))
 
 
 @register("binary_counts", _w(S.FLOWS_SQL.strip()) +
@@ -166,7 +166,7 @@ def label_distribution(spark, sf):
           "CAST(count_if(\"Label\" <> 'BENIGN') AS BIGINT) AS attack_1 FROM flows")
 def binary_counts(spark, sf):
     """Binary target counts."""
-    return m.binary_counts(flows(spark, sf))
+    return m.binary_counts(fx.flow_table(spark, sf))
 
 
 @register("label_encode", _w(S.FLOWS_SQL.strip()) +
@@ -175,21 +175,21 @@ def binary_counts(spark, sf):
           "AND \"Label\" <> 'BENIGN')")
 def label_encode(spark, sf):
     """Sorted attack classes and their codes."""
-    return m.distinct_classes(flows(spark, sf))
+    return m.distinct_classes(fx.flow_table(spark, sf))
 
 
 @register("benign_only", _w(S.FLOWS_SQL.strip()) +
           "SELECT flow_id, \"Label\" FROM flows WHERE \"Label\" = 'BENIGN'")
 def benign_only(spark, sf):
     """BENIGN rows (autoencoder training input)."""
-    return flows(spark, sf).select("flow_id", "Label").where(F.col("Label") == config.BENIGN)
+    return fx.flow_table(spark, sf).select("flow_id", "Label").where(F.col("Label") == config.BENIGN)
 
 
 @register("attack_only", _w(S.FLOWS_SQL.strip()) +
           "SELECT flow_id, \"Label\" FROM flows WHERE \"Label\" <> 'BENIGN'")
 def attack_only(spark, sf):
     """attack rows (stage-2 training input)."""
-    return flows(spark, sf).select("flow_id", "Label").where(F.col("Label") != config.BENIGN)
+    return fx.flow_table(spark, sf).select("flow_id", "Label").where(F.col("Label") != config.BENIGN)
 
 
 # --------------------------------------------------------------- sampling ----
@@ -198,7 +198,7 @@ def attack_only(spark, sf):
           f"SELECT flow_id, \"Label\" FROM flows ORDER BY {S.md5_key()} LIMIT {config.BACKGROUND_ROWS}")
 def sample_exact(spark, sf):
     """Exact-n repeatable sample (background rows)."""
-    return smp.sample_exact(flows(spark, sf).select("flow_id", "Label"), config.BACKGROUND_ROWS)
+    return smp.sample_exact(fx.flow_table(spark, sf).select("flow_id", "Label"), config.BACKGROUND_ROWS)
 
 
 @register("split_stratified", _w(S.FLOWS_SQL.strip()) +
@@ -207,7 +207,7 @@ FROM (SELECT flow_id, "Label", row_number() OVER (PARTITION BY "Label" ORDER BY
              count(*) OVER (PARTITION BY "Label") AS cnt FROM flows)""")
 def split_stratified(spark, sf):
     """Stratified 80/20 split."""
-    out = smp.split_stratified(flows(spark, sf).select("flow_id", "Label"), "Label")
+    out = smp.split_stratified(fx.flow_table(spark, sf).select("flow_id", "Label"), "Label")
     return out.select("flow_id", "Label", "is_val")
 
 
@@ -218,7 +218,7 @@ FROM (SELECT flow_id, "Label", row_number() OVER (PARTITION BY "Label" ORDER BY
              count(*) OVER (PARTITION BY "Label") AS cnt FROM flows) GROUP BY 1, 2""")
 def split_counts(spark, sf):
     """Rows per class and split."""
-    out = smp.split_stratified(flows(spark, sf).select("flow_id", "Label"), "Label")
+    out = smp.split_stratified(fx.flow_table(spark, sf).select("flow_id", "Label"), "Label")
     return m.split_counts(out)
 
 
@@ -226,7 +226,7 @@ def split_counts(spark, sf):
           f"SELECT flow_id, substr({S.md5_key()}, 1, 8) < '33333334' AS is_val FROM flows")
 def split_random(spark, sf):
     """Unstratified 80/20 split by key."""
-    return smp.split_random(flows(spark, sf).select("flow_id")).select("flow_id", "is_val")
+    return smp.split_random(fx.flow_table(spark, sf).select("flow_id")).select("flow_id", "is_val")
 
 
 @register("union_files", _w(S.FLOWS_SQL.strip()) +
@@ -238,7 +238,7 @@ SELECT 'events' AS source, event_id AS flow_id, CAST(user_id % 1024 AS DOUBLE) A
 def union_files(spark, sf):
     """Union by name of inputs with different (and padded) headers."""
     from flowspark.sources.csvsrc import strip_names, union_all
-    a = flows(spark, sf).select(F.lit("flows").alias("source"), "*")
+    a = fx.flow_table(spark, sf).select(F.lit("flows").alias("source"), "*")
     ev = fx.events(spark, sf)
     b = ev.select(F.lit("events").alias("source"), F.col("event_id").alias("flow_id"),
                   (F.col("user_id") % 1024).cast("double").alias(" Destination Port"),
@@ -292,7 +292,7 @@ def anomaly_flag(spark, sf):
 def actual_join(spark, sf):
     """Results stored apart from the input, aligned by key (inner equi-join)."""
     s = fx.rule_scored(spark, sf).scored.select("flow_id", *rt.RESULT_COLUMNS)
-    labels = flows(spark, sf).select("flow_id", F.col("Label").alias("Actual"))
+    labels = fx.flow_table(spark, sf).select("flow_id", F.col("Label").alias("Actual"))
     return s.join(labels, "flow_id", "inner")
 
 
@@ -580,7 +580,7 @@ def flow_with_summary(spark, sf):
           f"(value FOR feature IN ({', '.join(S.q(n) for n in S.RAW_FEATURES)}))")
 def flow_unpivot(spark, sf):
     """E5/F8: raw features of every flow as (feature, value) rows."""
-    return ex.flow_unpivot(flows(spark, sf), S.RAW_FEATURES)
+    return ex.flow_unpivot(fx.flow_table(spark, sf), S.RAW_FEATURES)
 
 
 # ------------------------------------------------------- batch monitor -------

@@ -20,7 +20,7 @@ from flowspark.plans import sql as S
 from flowspark.plans.catalog import register
 from flowspark.session import scratch_path
 from flowspark.sources import csvsrc
-from flowspark.sources.flows import FLOW_FEATURES, flows
+from flowspark.sources.flows import FLOW_FEATURES
 
 FHL = "Fwd Header Length"
 HEADER_FACTOR = 20.0       # header bytes per forward packet in the CSV fixture
@@ -30,7 +30,7 @@ EXTRA = "Flow Extra"
 def _csv_frame(spark, sf):
     """Flows in raw-export shape: shuffled columns, duplicated header column,
     an extra column, label last."""
-    f = flows(spark, sf)
+    f = fx.flow_table(spark, sf)
     hdr = F.col("`Total Fwd Packets`") * F.lit(HEADER_FACTOR)
     feats = list(FLOW_FEATURES.values())
     shuffled = feats[::-1]

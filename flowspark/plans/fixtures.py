@@ -21,6 +21,16 @@ from flowspark.operators import scaler as sc
 from flowspark.session import shared_dir
 from flowspark.sources.flows import FLOW_FEATURES, flows, read_table
 
+# Materialised tables of a session, keyed by (application, dataset[, form]):
+# the flow table, the scaled feature table and the scored table are built once and every
+# report reads them.
+_TABLES: dict[tuple, object] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, *rest) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *rest)
+
+
 # fixed values: sorted attack classes of the flow fixture
 FIXTURE_CLASSES = ["Bot", "DDoS", "PortScan", "SSH-Patator"]
 RECON_FACTOR = 0.75          # fixture reconstruction = scaled vector x 0.75
@@ -51,8 +61,20 @@ class Scaled:
     scaler: DataFrame
 
 
+def flow_table(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
+    """The flow table (the pipeline's input), derived from the line items
+    once per session and dataset and checkpointed: every query reads it
+    instead of re-running the two derivation shuffles."""
+    key = _key(spark, sf_dir, "flows")
+    if key not in _TABLES:
+        shared_dir(spark)
+        _TABLES[key] = flows(spark, sf_dir).checkpoint()
+    t = _TABLES[key]
+    return t if with_label else t.drop(config.LABEL_NAME)
+
+
 def prepared_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prep.prepare(flows(spark, sf_dir))
+    return prep.prepare(flow_table(spark, sf_dir))
 
 
 def absent_features(df: DataFrame) -> list[str]:
@@ -63,16 +85,6 @@ def absent_features(df: DataFrame) -> list[str]:
 ABSENT = [n for n in config.FEATURE_ORDER if n not in set(FLOW_FEATURES.values())]
 
 
-# Materialised tables of a session, keyed by (application, dataset[, form]):
-# the scaled feature table and the scored table are built once and every
-# report reads them.
-_TABLES: dict[tuple, object] = {}
-
-
-def _key(spark: SparkSession, sf_dir: str, *rest) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *rest)
-
-
 def scaled_flows(spark: SparkSession, sf_dir: str) -> Scaled:
     """Prepared flows are read by the sample count, the quartile fit, the
     threshold fit and the final projection: they are checkpointed once into
