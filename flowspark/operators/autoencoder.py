@@ -199,16 +199,25 @@ _EPOCH_SCHEMA = "n long, steps long, loss_sum double, state array<double>"
 
 
 def _average(out: DataFrame, size: int) -> tuple[np.ndarray, int, int, float]:
-    """Row-weighted mean of the shard states, by parameter position."""
-    stats = out.agg(F.sum("n").alias("n"), F.sum("steps").alias("steps"),
-                    F.sum("loss_sum").alias("loss_sum"), F.count(F.lit(1)).alias("shards"))
-    cells = out.select("n", F.posexplode("state").alias("i", "v"))
-    avg = cells.groupBy("i").agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("v"))
+    """Row-weighted mean of the shard states, by parameter position, in one
+    grouped aggregate; the shard's step count and loss sum ride along as two
+    extra positions (summed, not averaged)."""
+    extras = F.array(F.col("steps").cast("double"), F.col("loss_sum"))
+    cells = out.select("n", F.posexplode(F.concat("state", extras)).alias("i", "v"))
+    agg = cells.groupBy("i").agg(
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.sum("v").alias("total"), F.count(F.lit(1)).alias("shards"))
     vec = np.zeros(size, dtype=np.float64)
-    for r in avg.collect():          # one value per parameter position (model-sized)
-        vec[r["i"]] = r["v"]
-    s = stats.first()
-    return vec, int(s["steps"] or 0), int(s["shards"] or 0), float(s["loss_sum"] or 0.0)
+    steps, shards, loss_sum = 0, 0, 0.0
+    for r in agg.collect():          # one row per parameter position (model-sized)
+        i = r["i"]
+        if i < size:
+            vec[i] = r["mean"]
+        elif i == size:
+            steps, shards = int(r["total"]), int(r["shards"])
+        else:
+            loss_sum = float(r["total"])
+    return vec, steps, shards, loss_sum
 
 
 def mean_error(spark: SparkSession, model: AEModel, df: DataFrame, col: str = "features") -> float:
@@ -238,12 +247,9 @@ def train(spark: SparkSession, train_df: DataFrame, val_df: DataFrame, n_feature
     best, best_p, wait = float("inf"), p.copy(), 0
     for epoch in range(epochs):
         bc = spark.sparkContext.broadcast((p, m, v, t))
-        # one row per shard (model-sized); persisted so the epoch's training
-        # job runs once for the average and the loss statistics
-        out = data.mapInPandas(_epoch_fn(bc, widths, lr, batch, epoch, seed), _EPOCH_SCHEMA) \
-            .persist()
+        # one row per shard (model-sized), consumed by a single aggregate
+        out = data.mapInPandas(_epoch_fn(bc, widths, lr, batch, epoch, seed), _EPOCH_SCHEMA)
         state, steps, n_shards, loss_sum = _average(out, 3 * size)
-        out.unpersist()
         bc.unpersist()
         p, m, v = state[:size], state[size:2 * size], state[2 * size:]
         t += max(1, round(steps / max(n_shards, 1)))
