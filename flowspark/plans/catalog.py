@@ -451,6 +451,19 @@ def roc_curve(spark, sf):
     return m.roc_curve(s, rt.binary_target(F.col("Actual")), F.col("p_attack"))
 
 
+@register("roc_curve_proxy", _roc_sql(PROXY) + """, w AS (SELECT *,
+   lag(tps) OVER (ORDER BY threshold DESC) AS tp0, lead(tps) OVER (ORDER BY threshold DESC) AS tp2,
+   lag(fps) OVER (ORDER BY threshold DESC) AS fp0, lead(fps) OVER (ORDER BY threshold DESC) AS fp2 FROM pts)
+SELECT CAST('Infinity' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL
+SELECT threshold, CAST(fps AS DOUBLE) / N AS fpr, CAST(tps AS DOUBLE) / P AS tpr FROM w
+WHERE tp0 IS NULL OR tp2 IS NULL OR tp0 - 2 * tps + tp2 <> 0 OR fp0 - 2 * fps + fp2 <> 0""")
+def roc_curve_proxy(spark, sf):
+    """ROC points of the compatible confidence proxy score (Q3)."""
+    s = fx.rule_scored(spark, sf).scored.where(F.col("Actual").isNotNull())
+    return m.roc_curve(s, rt.binary_target(F.col("Actual")), rt.score_proxy(s))
+
+
 def _auc_sql(score: str) -> str:
     return _roc_sql(score) + f""", c AS (
  SELECT CAST('Infinity' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
