@@ -14,8 +14,8 @@
   alone go through stage 2 and the autoencoder (a filter, so the Python UDF
   never sees BENIGN-routed rows), and the two branches are re-united.
 
-GBT training caches its input and, with the session's checkpoint folder
-set, checkpoints every ``checkpointInterval`` rounds (lineage cut).
+GBT training caches its (checkpointed) input table; trees are shipped to the
+executors each round instead of caching node ids per row.
 """
 
 from __future__ import annotations
@@ -59,7 +59,11 @@ def gbt(params: GbtParams, label: str) -> GBTClassifier:
                          maxDepth=params.max_depth, stepSize=params.step,
                          subsamplingRate=params.subsample,
                          featureSubsetStrategy=str(params.feature_fraction),
-                         maxBins=params.max_bins, seed=params.seed, cacheNodeIds=True)
+                         maxBins=params.max_bins, seed=params.seed,
+                         # depth-5 trees are tiny to ship to executors; caching
+                         # node ids per row (and checkpointing that cache) cost
+                         # ~30 % more time here for the same model
+                         cacheNodeIds=False)
 
 
 def early_stop_round(losses: list[float], patience: int) -> int:
