@@ -23,15 +23,17 @@ from flowspark.plans.catalog import register
 from flowspark.session import scratch_path
 
 
-def _val(b):
-    return b.data.where(F.col("is_val"))
+def _val(b, binary: bool = False):
+    """Hold-out rows: the binary model's split or the attack model's split."""
+    return b.data.where(F.col("is_val_bin" if binary else "is_val"))
 
 
 @register("gbt_binary")
 def gbt_binary(spark, sf):
-    """M1/M2/M4: binary model on the 80 % split, p_attack of the 20 % hold-out."""
+    """M1/M2/M4: binary model on the 80 % split (stratified by the binary
+    target), p_attack of the 20 % hold-out."""
     b = tr.bundle_for(spark, sf)
-    s = md.score_binary(b.binary, md.with_vector(_val(b)))
+    s = md.score_binary(b.binary, md.with_vector(_val(b, binary=True)))
     return s.select("flow_id", rt.binary_target(F.col(config.LABEL_NAME)).alias("y"), "p_attack")
 
 
@@ -89,13 +91,12 @@ def ae_recon_top_features(spark, sf):
 def holdout_report(spark, sf):
     """Hold-out classification reports (binary at p > 0.5, attack type)."""
     b = tr.bundle_for(spark, sf)
-    val = md.with_vector(_val(b))
-    s1 = md.score_binary(b.binary, val).select(
+    s1 = md.score_binary(b.binary, md.with_vector(_val(b, binary=True))).select(
         rt.binary_label(F.col(config.LABEL_NAME)).alias("ya"),
         F.when(rt.train_decision(F.col("p_attack")) == 1, F.lit(config.ATTACK))
         .otherwise(F.lit(config.BENIGN)).alias("yp"))
     rb = m.classification_report(s1, "ya", "yp").withColumn("model", F.lit("binary"))
-    atk = val.where(F.col(config.LABEL_NAME) != config.BENIGN)
+    atk = md.with_vector(_val(b)).where(F.col(config.LABEL_NAME) != config.BENIGN)
     classes = F.array(*[F.lit(c) for c in b.attack.classes])
     s2 = md.score_attack(b.attack, atk).select(
         F.col(config.LABEL_NAME).alias("ya"),

@@ -35,7 +35,7 @@ FIXTURE_GBT = md.GbtParams(max_iter=20)
 
 @dataclass
 class Bundle:
-    data: DataFrame                      # flow_id, Label, features, is_val (checkpointed)
+    data: DataFrame                      # flow_id, Label, features, is_val_bin, is_val
     params: dict[str, tuple[float, float]]
     binary: GBTClassificationModel
     losses: list[float]
@@ -56,10 +56,14 @@ def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.
 
 
 def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) -> DataFrame:
-    """Labelled rows with the stratified 80/20 flag, checkpointed."""
+    """Labelled rows with both stratified 80/20 flags (X3), checkpointed:
+    ``is_val_bin`` stratified by the binary target (binary model) and
+    ``is_val`` stratified by class (attack model: its attack rows)."""
     labelled = scaled_packed.where(F.col(label_col).isNotNull())   # Q8: null label = unlabelled
-    split = smp.split_stratified(labelled, label_col)
-    return split.drop("split_rank").checkpoint()
+    by_bin = smp.split_stratified(labelled.withColumn("_bin", rt.binary_label(F.col(label_col))),
+                                  "_bin").drop("split_rank", "_bin") \
+        .withColumnRenamed("is_val", "is_val_bin")
+    return smp.split_stratified(by_bin, label_col).drop("split_rank").checkpoint()
 
 
 def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = config.LABEL_NAME,
@@ -89,9 +93,10 @@ def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple
     """M12 from the split, packed, scaled table."""
     auto = train_autoencoder(spark, data, label_col) if with_autoencoder else None
     vec = md.with_vector(data).withColumn("y", rt.binary_target(F.col(label_col)).cast("double"))
-    tr, va = vec.where(~F.col("is_val")), vec.where(F.col("is_val"))
-    binary, losses = md.fit_binary(tr, va, gbt)
-    attack = md.fit_attack(tr.where(F.col(label_col) != config.BENIGN), gbt, label_col)
+    binary, losses = md.fit_binary(vec.where(~F.col("is_val_bin")), vec.where(F.col("is_val_bin")),
+                                   gbt)
+    attacks = vec.where(F.col(label_col) != config.BENIGN)
+    attack = md.fit_attack(attacks.where(~F.col("is_val")), gbt, label_col)
     return Bundle(data, params, binary, losses, attack, auto)
 
 

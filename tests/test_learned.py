@@ -142,3 +142,10 @@ def test_scoring_without_autoencoder(spark, bundle):
     single = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto,
                                 inclusive=True)
     assert single.count() == bundle.data.count()
+
+
+def test_two_stratified_splits(spark, bundle):
+    d = bundle.data.withColumn("bin", F.col("Label") != "BENIGN")
+    for col, key in (("is_val_bin", "bin"), ("is_val", "Label")):
+        for r in d.groupBy(key).agg(F.count("*").alias("n"), F.count_if(col).alias("v")).collect():
+            assert r.v == int(r.n * 0.2 + 0.5)
