@@ -29,8 +29,13 @@ def per_batch(scored: DataFrame, batch_col: str = "batch") -> DataFrame:
 
 def running_sum(df: DataFrame, order_col: str, cols: list[str], block: int = BLOCK) -> DataFrame:
     """Cumulative sums of ``cols`` in ``order_col`` order (``order_col`` a
-    non-negative long, e.g. a batch number)."""
-    b = df.withColumn("_blk", F.floor(F.col(order_col) / block).cast("long"))
+    non-negative long, e.g. a batch number).
+
+    The input feeds two branches (block totals and in-block prefix sums);
+    it is checkpointed first so its source is scanned once."""
+    from flowspark.session import shared_dir
+    shared_dir(df.sparkSession)
+    b = df.withColumn("_blk", F.floor(F.col(order_col) / block).cast("long")).checkpoint()
     tot = b.groupBy("_blk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wt = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_blk", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")
