@@ -18,12 +18,12 @@ from flowspark import config
 from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.operators import scaler as sc
-from flowspark.session import shared_dir
+from flowspark.session import write_table
 from flowspark.sources.flows import FLOW_FEATURES, flows, read_table
 
-# Materialised tables of a session, keyed by (application, dataset[, form]):
-# the flow table, the scaled feature table and the scored table are built once and every
-# report reads them.
+# Per session and dataset (key: application, dataset, kind): the flow table,
+# the scaled table and the scored table are written once as parquet tables
+# in the shared folder; queries read the columns they need from them.
 _TABLES: dict[tuple, object] = {}
 
 
@@ -63,12 +63,12 @@ class Scaled:
 
 def flow_table(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
     """The flow table (the pipeline's input), derived from the line items
-    once per session and dataset and checkpointed: every query reads it
-    instead of re-running the two derivation shuffles."""
+    once per session and dataset and written as a parquet table in the
+    shared folder: every query reads it (pruned to its columns) instead of
+    re-running the two derivation shuffles."""
     key = _key(spark, sf_dir, "flows")
     if key not in _TABLES:
-        shared_dir(spark)
-        _TABLES[key] = flows(spark, sf_dir).checkpoint()
+        _TABLES[key] = write_table(spark, flows(spark, sf_dir), "flows")
     t = _TABLES[key]
     return t if with_label else t.drop(config.LABEL_NAME)
 
@@ -86,18 +86,14 @@ ABSENT = [n for n in config.FEATURE_ORDER if n not in set(FLOW_FEATURES.values()
 
 
 def scaled_flows(spark: SparkSession, sf_dir: str) -> Scaled:
-    """Prepared flows are read by the sample count, the quartile fit, the
-    threshold fit and the final projection: they are checkpointed once into
-    the shared folder (lineage cut) instead of being re-derived from the
-    line items four times; the scaled table is checkpointed as well."""
+    """Scaled flows, materialised once per session and dataset as a parquet
+    table (the scaler is fitted once, on its bounded sample)."""
     key = _key(spark, sf_dir, "scaled")
     if key not in _TABLES:
-        shared_dir(spark)
-        p = prepared_flows(spark, sf_dir).checkpoint()
-        scaler = sc.fit_scaler(p, absent=ABSENT)
-        params = sc.scaler_params(scaler)
-        scaler_table = sc.scaler_from_params(spark, params)
-        _TABLES[key] = Scaled(sc.apply_scaler(p, params).checkpoint(), params, scaler_table)
+        p = prepared_flows(spark, sf_dir)
+        params = sc.scaler_params(sc.fit_scaler(p, absent=ABSENT))
+        _TABLES[key] = Scaled(write_table(spark, sc.apply_scaler(p, params), "scaled"), params,
+                              sc.scaler_from_params(spark, params))
     return _TABLES[key]
 
 
@@ -129,7 +125,8 @@ class RuleScored:
 
 
 def rule_scored(spark: SparkSession, sf_dir: str, inclusive: bool = False) -> RuleScored:
-    """Scored flows (fixture rule scores), materialised once per session."""
+    """Scored flows (fixture rule scores), materialised once per session as a
+    parquet table: every report reads its few columns from it (SURVEY §3)."""
     key = _key(spark, sf_dir, "scored", inclusive)
     if key not in _TABLES:
         s = scaled_flows(spark, sf_dir)
@@ -140,7 +137,7 @@ def rule_scored(spark: SparkSession, sf_dir: str, inclusive: bool = False) -> Ru
             .withColumn("probs", rule_probs(fid, lab))
         scored = rt.route(f, FIXTURE_CLASSES, ae_threshold=thr, inclusive=inclusive,
                           keep=("flow_id", "p_attack", "probs", "mse"))
-        _TABLES[key] = RuleScored(f, scored.checkpoint(), thr)
+        _TABLES[key] = RuleScored(f, write_table(spark, scored, "scored"), thr)
     return _TABLES[key]
 
 

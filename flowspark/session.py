@@ -59,3 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def write_table(spark: SparkSession, df, name: str):
+    """Cut lineage with a parquet table below the shared folder: survives
+    executor loss, and later reads are columnar (pruned, vectorised), unlike
+    a ``checkpoint()`` scan."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
