@@ -25,7 +25,7 @@ from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.operators import sampling as smp
 from flowspark.operators import scaler as sc
-from flowspark.session import shared_dir
+from flowspark.session import shared_dir, write_table
 
 # Training sizes used for the registered (fixture) queries: boosting rounds
 # are lowered from the 200 of the contract so a local run stays short (the
@@ -56,14 +56,17 @@ def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.
 
 
 def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) -> DataFrame:
-    """Labelled rows with both stratified 80/20 flags (X3), checkpointed:
+    """Labelled rows with both stratified 80/20 flags (X3), written once:
     ``is_val_bin`` stratified by the binary target (binary model) and
     ``is_val`` stratified by class (attack model: its attack rows)."""
     labelled = scaled_packed.where(F.col(label_col).isNotNull())   # Q8: null label = unlabelled
     by_bin = smp.split_stratified(labelled.withColumn("_bin", rt.binary_label(F.col(label_col))),
                                   "_bin").drop("split_rank", "_bin") \
         .withColumnRenamed("is_val", "is_val_bin")
-    return smp.split_stratified(by_bin, label_col).drop("split_rank").checkpoint()
+    split = smp.split_stratified(by_bin, label_col).drop("split_rank")
+    # a parquet table: the learners' label filters (benign rows, attack rows)
+    # are pushed into its scan
+    return write_table(scaled_packed.sparkSession, split, "training")
 
 
 def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = config.LABEL_NAME,
