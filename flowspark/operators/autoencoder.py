@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,7 +160,10 @@ def _epoch_fn(bc_state, widths, lr, batch, epoch, seed):
         p, m, v, t0 = bc_state.value
         p, m, v = p.copy(), m.copy(), v.copy()
         t = t0
-        rng = np.random.default_rng([seed, epoch])
+        # per shard and epoch; a retried task reads the same partition with the
+        # same seed, so a lost executor does not change the result
+        ctx = TaskContext.get()
+        rng = np.random.default_rng([seed, epoch, ctx.partitionId() if ctx else 0])
         n_rows, loss_sum, steps = 0, 0.0, 0
         pending = []
         pending_n = 0
