@@ -115,3 +115,13 @@ def test_absent_shortcut_equals_full_fit(spark):
     full = {r["feature"]: tuple(r)[2:] for r in sc.fit_scaler(p).collect()}
     fast = {r["feature"]: tuple(r)[2:] for r in sc.fit_scaler(p, absent=absent).collect()}
     assert full == fast
+
+
+def test_full_width_preparation_stays_in_codegen(spark):
+    cols = [F.col("id").alias("flow_id")] + [
+        (F.col("id") % (i + 3)).cast("double").alias(n) for i, n in enumerate(config.FEATURE_ORDER)
+    ] + [F.lit("BENIGN").alias("Label")]
+    raw = spark.range(100).select(*cols)
+    scaled = sc.apply_scaler(prep.prepare(raw), {n: (1.0, 2.0) for n in config.FEATURE_ORDER})
+    plan = scaled._jdf.queryExecution().executedPlan().toString()
+    assert len(scaled.columns) <= 100 and "*(" in plan      # WholeStageCodegen marker
