@@ -14,8 +14,8 @@
   alone go through stage 2 and the autoencoder (a filter, so the Python UDF
   never sees BENIGN-routed rows), and the two branches are re-united.
 
-GBT training caches its (checkpointed) input table; trees are shipped to the
-executors each round instead of caching node ids per row.
+GBT training caches its input (the training parquet table); trees are shipped
+to the executors each round instead of caching node ids per row.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Retraining flow (M12): scaler -> autoencoder -> binary model -> attack model.
 
 One shared preparation: the flows are prepared, robust-scaled, packed and
-labelled with a stratified 80/20 split, and that table is checkpointed into
-the shared folder once; every learner reads it from there, so the raw
-tables are scanned a single time per training run.
+given both stratified 80/20 flags, and that table is written once as a
+parquet table in the shared folder; every learner reads it from there (its
+label filters pushed into the scan), so the raw tables are scanned a single
+time per training run.
 
 Sample bounds follow the reference contract: the scaler and the autoencoder
 see at most 100k rows each (repeatable md5 samples, X1); the explanation
