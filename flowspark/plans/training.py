@@ -94,14 +94,21 @@ def train(spark: SparkSession, raw: DataFrame, gbt: md.GbtParams = FIXTURE_GBT,
 def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple[float, float]],
                    gbt: md.GbtParams = FIXTURE_GBT, with_autoencoder: bool = True,
                    label_col: str = config.LABEL_NAME) -> Bundle:
-    """M12 from the split, packed, scaled table."""
+    """M12 from the split, packed, scaled table (stage seconds in ``extras``)."""
+    import time
+    t0 = time.time()
     auto = train_autoencoder(spark, data, label_col) if with_autoencoder else None
+    t1 = time.time()
     vec = md.with_vector(data).withColumn("y", rt.binary_target(F.col(label_col)).cast("double"))
     binary, losses = md.fit_binary(vec.where(~F.col("is_val_bin")), vec.where(F.col("is_val_bin")),
                                    gbt)
+    t2 = time.time()
     attacks = vec.where(F.col(label_col) != config.BENIGN)
     attack = md.fit_attack(attacks.where(~F.col("is_val")), gbt, label_col)
-    return Bundle(data, params, binary, losses, attack, auto)
+    t3 = time.time()
+    seconds = {"autoencoder": round(t1 - t0, 3), "binary": round(t2 - t1, 3),
+               "attack": round(t3 - t2, 3)}
+    return Bundle(data, params, binary, losses, attack, auto, {"seconds": seconds})
 
 
 _CACHE: dict[tuple, Bundle] = {}
