@@ -16,9 +16,10 @@ Training is data-parallel local SGD (Zinkevich et al. 2010; Stich 2019):
 * the vectors are averaged (weighted by rows) with a grouped aggregate over
   parameter positions -- the driver only ever receives the averaged model
   (10,602 weights + the two Adam moments), whatever the data size;
-* the validation loss is a distributed mean of the per-row errors; the best
-  epoch's weights are kept, with early stopping after ``patience`` epochs
-  without improvement.
+* the validation rows sit in the same shards: each epoch's job also sums
+  their errors under the weights it started from (the previous epoch's
+  result), so an epoch costs one pass; the best epoch's weights are kept,
+  with early stopping after ``patience`` epochs without improvement.
 
 Inference (M8) is an Arrow-batched ``pandas_udf`` with broadcast weights.
 """
@@ -159,7 +160,9 @@ def _epoch_fn(bc_state, widths, lr, batch, epoch, seed):
     def run(batches):
         p, m, v, t0 = bc_state.value
         p, m, v = p.copy(), m.copy(), v.copy()
+        p_start = p.astype(np.float32)
         t = t0
+        val_sum, val_n = 0.0, 0
         # per shard and epoch; a retried task reads the same partition with the
         # same seed, so a lost executor does not change the result
         ctx = TaskContext.get()
@@ -177,7 +180,14 @@ def _epoch_fn(bc_state, widths, lr, batch, epoch, seed):
             steps += 1
 
         for pdf in batches:
-            xm = _matrix(pdf["features"], widths[0])
+            is_val = pdf["is_val"].to_numpy(dtype=bool)
+            if is_val.any():
+                # validation rows: error of the weights this epoch started from
+                xv = _matrix(pdf["features"][is_val], widths[0])
+                out, _ = forward(p_start, widths, xv)
+                val_sum += float(np.mean((xv - out).astype(np.float64) ** 2, axis=1).sum())
+                val_n += len(xv)
+            xm = _matrix(pdf["features"][~is_val], widths[0])
             if len(xm) == 0:
                 continue
             xm = xm[rng.permutation(len(xm))]
@@ -193,35 +203,37 @@ def _epoch_fn(bc_state, widths, lr, batch, epoch, seed):
                 pending_n = len(buf) - full
         if pending_n:
             step(np.concatenate(pending))
-        if n_rows:
+        if n_rows or val_n:
             yield pd.DataFrame({"n": [n_rows], "steps": [steps], "loss_sum": [loss_sum],
+                                "val_sum": [val_sum], "val_n": [val_n],
                                 "state": [np.concatenate([p, m, v])]})
     return run
 
 
-_EPOCH_SCHEMA = "n long, steps long, loss_sum double, state array<double>"
+_EPOCH_SCHEMA = ("n long, steps long, loss_sum double, val_sum double, val_n long, "
+                 "state array<double>")
 
 
-def _average(out: DataFrame, size: int) -> tuple[np.ndarray, int, int, float]:
-    """Row-weighted mean of the shard states, by parameter position, in one
-    grouped aggregate; the shard's step count and loss sum ride along as two
-    extra positions (summed, not averaged)."""
-    extras = F.array(F.col("steps").cast("double"), F.col("loss_sum"))
+def _average(out: DataFrame, size: int) -> tuple[np.ndarray, dict]:
+    """Train-row-weighted mean of the shard states, by parameter position, in
+    one grouped aggregate; step count, loss sum and validation error sum /
+    count ride along as extra positions (summed, not averaged)."""
+    names = ["steps", "loss_sum", "val_sum", "val_n"]
+    extras = F.array(*[F.col(c).cast("double") for c in names])
     cells = out.select("n", F.posexplode(F.concat("state", extras)).alias("i", "v"))
     agg = cells.groupBy("i").agg(
-        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.try_divide(F.sum(F.col("v") * F.col("n")), F.sum("n")).alias("mean"),
         F.sum("v").alias("total"), F.count(F.lit(1)).alias("shards"))
     vec = np.zeros(size, dtype=np.float64)
-    steps, shards, loss_sum = 0, 0, 0.0
+    stats = {"shards": 0}
     for r in agg.collect():          # one row per parameter position (model-sized)
         i = r["i"]
         if i < size:
-            vec[i] = r["mean"]
-        elif i == size:
-            steps, shards = int(r["total"]), int(r["shards"])
+            vec[i] = r["mean"] if r["mean"] is not None else 0.0
         else:
-            loss_sum = float(r["total"])
-    return vec, steps, shards, loss_sum
+            stats[names[i - size]] = float(r["total"])
+            stats["shards"] = int(r["shards"])
+    return vec, stats
 
 
 def mean_error(spark: SparkSession, model: AEModel, df: DataFrame, col: str = "features") -> float:
@@ -234,40 +246,54 @@ def train(spark: SparkSession, train_df: DataFrame, val_df: DataFrame, n_feature
           lr: float = config.AE_LEARNING_RATE, batch: int = config.AE_BATCH_SIZE,
           shards: int | None = None, seed: int = config.SEED,
           key_col: str = "flow_id") -> AEModel:
-    """M7: local-SGD training with best-epoch selection and early stopping."""
+    """M7: local-SGD training with best-epoch selection and early stopping.
+
+    One pass over the data per epoch: the validation rows live in the same
+    shards and each epoch's job scores them with the weights the epoch
+    started from, i.e. the previous epoch's result, so the early-stopping
+    decision for epoch e is made by job e+1 (one final evaluation covers the
+    last epoch).  The history and the kept weights are those of the
+    train-then-validate loop."""
     from flowspark.session import shared_dir
     shared_dir(spark)
     widths = widths_for(n_features)
     size = n_params(widths)
     shards = shards or spark.sparkContext.defaultParallelism
-    data = train_df.select(key_col, "features").repartition(shards, key_col) \
-        .select("features").checkpoint()
-    val = val_df.select("features").checkpoint()
+    rows = train_df.select(key_col, "features", F.lit(False).alias("is_val")).unionByName(
+        val_df.select(key_col, "features", F.lit(True).alias("is_val")))
+    data = rows.repartition(shards, key_col).select("features", "is_val").checkpoint()
     p = init_params(widths, seed)
     m = np.zeros_like(p)
     v = np.zeros_like(p)
     t = 0
     model = AEModel(widths, p.copy())
-    best, best_p, wait = float("inf"), p.copy(), 0
+    best = {"loss": float("inf"), "p": p.copy(), "wait": 0}
+
+    def record(epoch_no: int, train_loss: float, weights: np.ndarray, val_loss: float) -> bool:
+        improved = val_loss < best["loss"]
+        model.history.append((epoch_no, train_loss, val_loss, improved))
+        if improved:
+            best.update(loss=val_loss, p=weights, wait=0)
+            return False
+        best["wait"] += 1
+        return best["wait"] >= patience
+
+    pending = None                     # (epoch number, train loss, weights) awaiting validation
+    stopped = False
     for epoch in range(epochs):
         bc = spark.sparkContext.broadcast((p, m, v, t))
-        # one row per shard (model-sized), consumed by a single aggregate
         out = data.mapInPandas(_epoch_fn(bc, widths, lr, batch, epoch, seed), _EPOCH_SCHEMA)
-        state, steps, n_shards, loss_sum = _average(out, 3 * size)
+        state, st = _average(out, 3 * size)
         bc.unpersist()
+        if pending is not None and record(*pending, st["val_sum"] / max(st["val_n"], 1.0)):
+            stopped = True
+            break
         p, m, v = state[:size], state[size:2 * size], state[2 * size:]
-        t += max(1, round(steps / max(n_shards, 1)))
-        train_loss = loss_sum / max(steps, 1)
-        val_loss = mean_error(spark, AEModel(widths, p), val)
-        improved = val_loss < best
-        model.history.append((epoch + 1, train_loss, val_loss, improved))
-        if improved:
-            best, best_p, wait = val_loss, p.copy(), 0
-        else:
-            wait += 1
-            if wait >= patience:
-                break
-    model.params = best_p
+        t += max(1, round(st["steps"] / max(st["shards"], 1)))
+        pending = (epoch + 1, st["loss_sum"] / max(st["steps"], 1.0), p.copy())
+    if pending is not None and not stopped:
+        record(*pending, mean_error(spark, AEModel(widths, pending[2]), data.where("is_val")))
+    model.params = best["p"]
     return model
 
 

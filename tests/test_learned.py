@@ -149,3 +149,22 @@ def test_two_stratified_splits(spark, bundle):
     for col, key in (("is_val_bin", "bin"), ("is_val", "Label")):
         for r in d.groupBy(key).agg(F.count("*").alias("n"), F.count_if(col).alias("v")).collect():
             assert r.v == int(r.n * 0.2 + 0.5)
+
+
+def test_fused_validation_matches_separate_pass(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(2400, 3))
+    x = np.concatenate([base, base @ rng.normal(size=(3, 5))], axis=1).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r], i % 5 == 0) for i, r in enumerate(x)],
+                               "flow_id long, features array<float>, is_val boolean")
+    tr_, va_ = df.where(~F.col("is_val")), df.where(F.col("is_val"))
+    model = ae.train(spark, tr_, va_, 8, epochs=4, patience=5, shards=3)
+    assert [h[0] for h in model.history] == [1, 2, 3, 4]
+    best = min(h[2] for h in model.history)
+    again = ae.mean_error(spark, model, va_.select("features"))
+    assert again == pytest.approx(best, rel=1e-6)
+    stopped = ae.train(spark, tr_, va_, 8, epochs=12, patience=1, shards=3, lr=0.05)
+    h = stopped.history
+    assert len(h) <= 12 and (len(h) == 12 or not h[-1][3])
+    assert ae.mean_error(spark, stopped, va_.select("features")) == pytest.approx(
+        min(r[2] for r in h), rel=1e-6)
