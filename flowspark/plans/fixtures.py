@@ -131,13 +131,20 @@ def rule_scored(spark: SparkSession, sf_dir: str, inclusive: bool = False) -> Ru
     if key not in _TABLES:
         s = scaled_flows(spark, sf_dir)
         f = with_recon(s.df)
-        thr = fit_threshold(f)
         fid, lab = F.col("flow_id"), F.col(config.LABEL_NAME)
         f = f.withColumn("p_attack", rule_p_attack(fid, lab)) \
             .withColumn("probs", rule_probs(fid, lab))
-        scored = rt.route(f, FIXTURE_CLASSES, ae_threshold=thr, inclusive=inclusive,
-                          keep=("flow_id", "p_attack", "probs", "mse"))
-        _TABLES[key] = RuleScored(f, write_table(spark, scored, "scored"), thr)
+        # one pass computes the reconstruction error and writes the table with
+        # it; the threshold is then fitted from that single column and the
+        # anomaly flag is a comparison with it (not a second pass over the
+        # features)
+        pre = rt.route(f, FIXTURE_CLASSES, ae_threshold=None, inclusive=inclusive,
+                       keep=("flow_id", "p_attack", "probs", "mse")).drop("Anomaly")
+        table = write_table(spark, pre, "scored")
+        thr = fit_threshold(table)
+        anomaly = (F.col("Binary_Route") == config.ATTACK) & \
+            F.coalesce(F.col("mse") > F.lit(thr), F.lit(False))
+        _TABLES[key] = RuleScored(f, table.withColumn("Anomaly", anomaly), thr)
     return _TABLES[key]
 
 
