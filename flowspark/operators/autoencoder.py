@@ -121,6 +121,7 @@ class AEModel:
     params: np.ndarray
     threshold: float | None = None
     history: list[tuple[int, float, float, bool]] = field(default_factory=list)
+    validation: dict = field(default_factory=dict)     # A18/A19 on the validation rows
 
 
 def _matrix(series: pd.Series, width: int) -> np.ndarray:
@@ -305,12 +306,33 @@ def error_stats(errors: DataFrame, err_col: str = "mse") -> DataFrame:
 
 
 def fit_threshold(spark: SparkSession, model: AEModel, val_df: DataFrame) -> float:
-    """M9: threshold from the best weights' errors on the validation rows."""
-    errs = val_df.select(mse_col(spark, model, F.col("features")).alias("mse"))
-    model.threshold = float(error_stats(errs).first()["threshold"])
+    """M9: threshold from the best weights' errors on the validation rows,
+    then A19: how many validation rows it flags (errors are written once to
+    the shared folder and read by both aggregates)."""
+    from flowspark.session import write_table
+    errs = write_table(spark, val_df.select(mse_col(spark, model, F.col("features")).alias("mse")),
+                       "ae-val-errors")
+    st = error_stats(errs).first()
+    model.threshold = float(st["threshold"])
+    flagged = errs.agg(F.count(F.lit(1)).alias("n"),
+                       F.count_if(F.col("mse") > F.lit(model.threshold)).alias("anomalies")).first()
+    model.validation = {"err_mean": float(st["err_mean"]), "err_std": float(st["err_std"]),
+                        "threshold": model.threshold, "n": int(flagged["n"]),
+                        "anomalies": int(flagged["anomalies"])}
     return model.threshold
 
 
+def validation_frame(spark: SparkSession, model: AEModel) -> DataFrame:
+    """A18/A19 of the trained model: error mean/std, threshold, flagged rows."""
+    v = model.validation
+    rate = 100.0 * v["anomalies"] / v["n"] if v.get("n") else None
+    return spark.createDataFrame(
+        [(v.get("err_mean"), v.get("err_std"), v.get("threshold"), v.get("n"), v.get("anomalies"),
+          rate)],
+        "err_mean double, err_std double, threshold double, n long, anomalies long, "
+        "rate_pct double")
+
+
 def history_frame(spark: SparkSession, model: AEModel) -> DataFrame:
     """Epoch, train loss, validation loss, best-so-far flag."""
     schema = "epoch int, train_loss double, val_loss double, best boolean"

@@ -68,6 +68,13 @@ def ae_train(spark, sf):
     return ae.history_frame(spark, tr.bundle_for(spark, sf).auto)
 
 
+@register("ae_validation")
+def ae_validation(spark, sf):
+    """A18/A19/M9 on the trained autoencoder: validation error statistics,
+    the fitted threshold and how many validation rows it flags."""
+    return ae.validation_frame(spark, tr.bundle_for(spark, sf).auto)
+
+
 @register("ae_reconstruct")
 def ae_reconstruct(spark, sf):
     """M8/M9/P20: reconstruction error of every flow against the fitted threshold."""

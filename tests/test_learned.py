@@ -91,6 +91,9 @@ def test_autoencoder_learns_and_round_trips(spark, bundle, tmp_shared):
     hist = bundle.auto.history
     assert len(hist) >= 1 and min(h[2] for h in hist) < hist[0][2]
     assert bundle.auto.threshold is not None and bundle.auto.threshold > 0
+    v = ae.validation_frame(spark, bundle.auto).first()
+    assert v.threshold == pytest.approx(v.err_mean + 3 * v.err_std)
+    assert 0 <= v.anomalies <= v.n and v.n > 0
     ae.save(spark, bundle.auto, tmp_shared)
     back = ae.load(spark, tmp_shared)
     assert back.widths == bundle.auto.widths
