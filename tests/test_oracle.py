@@ -35,3 +35,10 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["Final_Prediction", "count", "pct"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_rows_only_queries_run_with_stable_schema(spark, name):
+    first = QUERIES[name](spark, SF_SMALL)
+    assert first.count() >= 0 and first.columns
+    assert QUERIES[name](spark, SF_SMALL).schema == first.schema
