@@ -82,7 +82,7 @@ def main(argv):
     spark = build_session()
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
-    bad = []
+    bad, ok, rows_only = [], 0, 0
     for name, fn in qs.items():
         if only and name not in only:
             continue
@@ -90,13 +90,17 @@ def main(argv):
             t0 = time.time()
             n = fn(spark, sf_dir).count()
             print(f"ROW {name:28s} rows={n} (no oracle) {time.time() - t0:.1f}s", flush=True)
+            rows_only += 1
             continue
         try:
-            if not compare(spark, con, name, fn, orc[name], sf_dir):
+            if compare(spark, con, name, fn, orc[name], sf_dir):
+                ok += 1
+            else:
                 bad.append(name)
         except Exception as e:  # noqa: BLE001
             print(f"ERR {name}: {type(e).__name__}: {str(e)[:400]}", flush=True)
             bad.append(name)
+    print(f"SUMMARY oracle-equal={ok} failed={len(bad)} rows-only={rows_only}")
     print("FAILED:", bad)
 
 
