@@ -112,6 +112,19 @@ def holdout_report(spark, sf):
     return rb.unionByName(ra)
 
 
+@register("model_class_accuracy")
+def model_class_accuracy(spark, sf):
+    """A17/F7 on the attack model's hold-out: per class samples, correct, accuracy."""
+    b = tr.bundle_for(spark, sf)
+    atk = md.with_vector(_val(b)).where(F.col(config.LABEL_NAME) != config.BENIGN)
+    classes = F.array(*[F.lit(c) for c in b.attack.classes])
+    s = md.score_attack(b.attack, atk).select(
+        F.col(config.LABEL_NAME).alias("Actual"),
+        F.element_at(classes, (rt.argmax_expr(F.col("probs")) + 1).cast("int"))
+        .alias("Final_Prediction"))
+    return m.class_accuracy(s)
+
+
 @register("retrain")
 def retrain(spark, sf):
     """Save the trained bundle, load it back, score with the
