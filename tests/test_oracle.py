@@ -27,6 +27,19 @@ def test_matches_oracle(spark, con, name):
     assert canon(sp) == canon(dk)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "array<double>": "DOUBLE[]",
+                 "array<float>": "FLOAT[]"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_column_types_match_oracle(spark, con, name):
+    sp = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(ORACLE[name])
+    dk = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sp.items()} == dk
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
