@@ -159,7 +159,8 @@ def shap_attack(spark, sf):
     bg = _background(b)
     tables = {k: ts.build_tables(ts.read_trees(spark, mk), bg)
               for k, mk in enumerate(b.attack.ovr.models)}
-    scored = md.score_two_stage(spark, b.data, b.binary, b.attack, b.auto,
+    # only the route and class are needed: no autoencoder pass
+    scored = md.score_two_stage(spark, b.data, b.binary, b.attack, None,
                                 keep=("flow_id", "features"))
     classes = F.array(*[F.lit(c) for c in b.attack.classes])
     cls = (F.array_position(classes, F.col("Final_Prediction")) - 1).cast("int")
