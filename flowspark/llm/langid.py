@@ -13,6 +13,7 @@ document is ``und``.  Columns named like the results are replaced.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,8 @@ ORDERS = (1, 2, 3)
 HELD_OUT_FOLDS = 5
 MIN_SCORE = 0.02   # a document below this shares next to nothing with any profile
 _SPACE = 1         # code of a run of characters that are no letters
-_FLUSH = 1_000_000  # distinct n-grams that a task holds before it emits them
+_GATHER = 500_000   # codes of a language that are counted at once
+_FLUSH = 4_000_000  # codes and n-grams that a task holds before it emits them
 
 _letters: np.ndarray | None = None
 
@@ -67,27 +69,42 @@ def ranked(codes: np.ndarray, top: int) -> np.ndarray:
     return u[np.argsort(-n, kind="stable")[:top]]
 
 
+class _Counts:
+    """Counts of n-grams; codes are counted whenever enough have gathered."""
+
+    def __init__(self):
+        self.grams, self.n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.waiting, self.size = [], 0
+
+    def add(self, codes: np.ndarray) -> None:
+        self.waiting.append(codes)
+        self.size += len(codes)
+        if self.size > _GATHER:
+            self.count()
+
+    def count(self) -> None:
+        if self.waiting:
+            u, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            both, at = np.unique(np.concatenate([self.grams, u]), return_inverse=True)
+            self.n = np.bincount(at, np.concatenate([self.n, n]), len(both)).astype(np.int64)
+            self.grams, self.waiting, self.size = both, [], 0
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    held: dict[str, _Counts] = defaultdict(_Counts)
 
     def emit() -> Iterator[pa.RecordBatch]:
-        for lang, (u, n) in held.items():
+        for lang, c in held.items():
+            c.count()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(u)), pa.array(u.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                [pa.array([lang] * len(c.n)), pa.array(c.grams.view(np.int64)), pa.array(c.n)], ["lang", "gram", "n"])
         held.clear()
 
     for batch in batches:
-        frame = batch.to_pandas()
-        for lang, texts in frame.groupby("lang")["text"]:
-            codes = np.concatenate([gram_codes(t) for t in texts])
-            u, n = np.unique(codes, return_counts=True)
-            if lang in held:
-                both = np.concatenate([held[lang][0], u])
-                u, at = np.unique(both, return_inverse=True)
-                n = np.bincount(at, np.concatenate([held[lang][1], n]), len(u)).astype(np.int64)
-            held[lang] = u, n.astype(np.int64)
-        if sum(len(u) for u, _ in held.values()) > _FLUSH:
-            yield from emit()
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            held[lang].add(gram_codes(text.as_py()))
+            if sum(len(c.n) + c.size for c in held.values()) > _FLUSH:
+                yield from emit()
     yield from emit()
 
 
