@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm import chat, decontam, fingerprint, langid, license, packing, secretscan, simhash, toxicity
+from flowspark.llm import chat, decontam, fingerprint, langid, license, packing, secretscan, simhash, suffixdup, toxicity
 from flowspark.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_documents(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdup.dedup_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language, op2_secrets, op3_simhash, op4_licenses, op6_packing, op7_chat,
+    f.__name__: f for f in (op1_language, op2_secrets, op3_simhash, op4_licenses, op5_suffixes, op6_packing, op7_chat,
                             op8_decontamination, op9_fingerprints, op10_toxicity)}
 
 ORACLE: dict[str, str] = {"op8_decontamination": decontam.LEAKS_SQL}
