@@ -32,9 +32,10 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,7 @@ FOLDS, HELD_OUT = 3, 1
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGIN, _END = "\x02", "\x03"
 _FLUSH = 500_000
-_CACHED = 400_000
+_CACHED = 300_000
 
 
 def words_of(text: str) -> set[str]:
@@ -134,15 +135,19 @@ class Model:
     backed_off: np.ndarray
     slope: float = 0.0
     intercept: float = 0.0
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def word_ratios(self, words: list[str]) -> np.ndarray:
         keys, ctx, size = [], [], []
         for w in words:
             s = _BEGIN + w + _END
-            for i in range(1, len(s)):
-                h = s[max(0, i - ORDER + 1):i]
-                ctx.append(_hash(h))
-                keys.append(_hash(h + s[i]))
+            # up to ORDER characters a context is the gram before
+            heads = [_hash(s[:i]) for i in range(1, min(len(s), ORDER) + 1)]
+            ctx += heads[:-1]
+            keys += heads[1:]
+            for i in range(ORDER, len(s)):
+                ctx.append(_hash(s[i - ORDER + 1:i]))
+                keys.append(_hash(s[i - ORDER + 1:i + 1]))
             size.append(len(s) - 1)
         if not keys or not len(self.contexts):
             return np.zeros(len(words))
@@ -158,7 +163,8 @@ class Model:
 
 
 def _hash(s: str) -> int:
-    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"))
+    """As Spark's xxhash64 of a string."""
+    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 42)
 
 
 class Scorer:
@@ -184,6 +190,17 @@ class Scorer:
         return out
 
 
+_scorers: dict[str, Scorer] = {}   # of this worker, for the models in use
+
+
+def scorer_of(model: Model) -> Scorer:
+    if model.name not in _scorers:
+        while len(_scorers) >= 3:
+            _scorers.pop(next(iter(_scorers)))
+        _scorers[model.name] = Scorer(model)
+    return _scorers[model.name]
+
+
 def fit_model(grams: DataFrame, ordinary: list[str], toxic: list[str], n_toxic: int) -> Model:
     """Ratios of one choice of count columns."""
     least = max(LEAST_DOCS, LEAST_SHARE * n_toxic)
@@ -204,15 +221,15 @@ def fit_model(grams: DataFrame, ordinary: list[str], toxic: list[str], n_toxic:
 
     back = F.log((F.col("_mt") / F.col("_t")) / F.when(F.col("_o") > 0, F.col("_mo") / F.col("_o")).otherwise(1.0))
     rows = (g.join(total, "context").join(cont, "next")
-            .select(F.concat("context", "next").alias("gram"), F.log(p("t", "_t", "_mt") / p("o", "_o", "_mo")).alias("r")).toPandas())
-    backs = total.select("context", back.alias("r")).toPandas()
+            .select(F.xxhash64(F.concat("context", "next")).alias("h"), F.log(p("t", "_t", "_mt") / p("o", "_o", "_mo")).cast("float").alias("r")).toPandas())
+    backs = total.select(F.xxhash64("context").alias("h"), back.cast("float").alias("r")).toPandas()
 
-    def by_hash(names: pd.Series, r: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-        h = np.array([_hash(x) for x in names], np.uint64)
+    def by_hash(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        h = rows["h"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(h)
-        return h[order], r.to_numpy(np.float64)[order].astype(np.float32)
+        return h[order], rows["r"].to_numpy(np.float32)[order]
 
-    return Model(*by_hash(rows["gram"], rows["r"]), *by_hash(backs["context"], backs["r"]))
+    return Model(*by_hash(rows), *by_hash(backs))
 
 
 def _fit_curve(bins: pd.DataFrame) -> tuple[float, float]:
@@ -246,7 +263,7 @@ def train(spark: SparkSession, rows: DataFrame) -> Model:
               for o, t, k in (("n2", "n3", n[3]), ("n0", "n1", n[1]))]   # for half 0: trained on half 1
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers, seen = [Scorer(h.value) for h in halves], Counter()
+        scorers, seen = [scorer_of(h.value) for h in halves], Counter()
         for batch in batches:
             for text, half, toxic in zip(batch.column("text"), batch.column("half").to_pylist(), batch.column("toxic").to_pylist()):
                 seen[round(math.log1p(scorers[half].evidence([text.as_py()])[0]) * 50), int(toxic > 0)] += 1
@@ -267,7 +284,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for texts in batches:
             yield pd.Series(shared.value.probability(scorer.evidence(texts.tolist())))
 
