@@ -161,19 +161,23 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]], marks: list[int], length:
     prefix of ``length`` symbols begins, by refinement from one symbol to the
     next.  ``marks`` has the number of strings of each shard."""
     total = sum(len(b) for b, _ in shards)
-    z = np.concatenate([np.full(len(b), k, np.int32) for k, (b, _) in enumerate(shards)])
-    fixed = np.concatenate([np.full(k, i, np.int32) for i, k in enumerate(marks)])
+    # small integers, which numpy sorts by counting
+    small = np.uint8 if len(shards) <= 256 else np.uint16
+    z = np.concatenate([np.full(len(b), k, small) for k, (b, _) in enumerate(shards)])
+    fixed = np.concatenate([np.full(k, i, small) for i, k in enumerate(marks)])
     m = len(fixed)
     new = np.zeros(total, bool)
     new[0] = True
     symbols = np.concatenate([b for b, _ in shards])
+    used = np.unique(symbols)
+    symbols = np.searchsorted(used, symbols).astype(np.uint8 if len(used) <= 256 else np.uint16)
     for _ in range(length):
         # the transforms in interleaved order: each shard is read from its start
         by_shard = np.argsort(z, kind="stable")
-        symbol = np.empty(total, np.uint16)
+        symbol = np.empty(total, symbols.dtype)
         symbol[by_shard] = symbols
         order = np.argsort(symbol, kind="stable")
-        block = np.cumsum(new)[order]
+        block = np.cumsum(new, dtype=np.int32)[order]
         s = symbol[order]
         again = np.concatenate([[True], (s[1:] != s[:-1]) | (block[1:] != block[:-1])])
         again[:m] = True                   # end marks are all different
