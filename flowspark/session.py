@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,14 +41,18 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session (set by the cluster to a
-    shared file system).  Only when it is unset -- local tests -- a fresh
-    scratch folder is created and registered.
+    shared file system).  Only when it is unset and the master is local -- as
+    in tests -- a fresh scratch folder is created and registered; on a cluster
+    that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not conf_dir:
         conf_dir = sc.getCheckpointDir()
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a shared folder: executors of a cluster do not see "
+                             "a local one")
         conf_dir = tempfile.mkdtemp(prefix="flowspark-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not sc.getCheckpointDir():
