@@ -50,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = sc.getCheckpointDir()
     if not conf_dir:
-        if not re.match(r"local(\[|$)", sc.master):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or "local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder: executors of a cluster do not see "
                              "a local one")
         conf_dir = tempfile.mkdtemp(prefix="flowspark-ckpt-", dir="/tmp")
