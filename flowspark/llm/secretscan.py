@@ -35,6 +35,9 @@ ORDINARY = r"([A-Za-z_]{12,})"              # ordinary identifiers
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST_RATIO = 12.0      # nats by which a random string must be likelier
 SMOOTHING = 0.5         # added to every transition count
+# share of a class's transitions that is even over the alphabet: random
+# strings come in more alphabets than the samples show
+EVEN = {True: 0.5, False: 0.02}
 REDACTED = "[SECRET]"
 _BLOCK = 256
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -121,7 +124,8 @@ def train(samples: DataFrame) -> list[float]:
         first[label, p[0]] = first.get((label, p[0]), 0) + n
 
     def log_p(label: bool, x: str, y: str) -> float:
-        return math.log((pair.get((label, x + y), 0) + SMOOTHING) / (first.get((label, x), 0) + SMOOTHING * a))
+        seen = (pair.get((label, x + y), 0) + SMOOTHING) / (first.get((label, x), 0) + SMOOTHING * a)
+        return math.log((1 - EVEN[label]) * seen + EVEN[label] / a)
     if {k for k, _ in pair} != {True, False}:
         return [0.0] * (a * a)
     return [log_p(True, x, y) - log_p(False, x, y) for x in ALPHABET for y in ALPHABET]
