@@ -221,13 +221,14 @@ def fit_model(grams: DataFrame, ordinary: list[str], toxic: list[str], n_toxic:
 
     back = F.log((F.col("_mt") / F.col("_t")) / F.when(F.col("_o") > 0, F.col("_mo") / F.col("_o")).otherwise(1.0))
     rows = (g.join(total, "context").join(cont, "next")
-            .select(F.xxhash64(F.concat("context", "next")).alias("h"), F.log(p("t", "_t", "_mt") / p("o", "_o", "_mo")).cast("float").alias("r")).toPandas())
-    backs = total.select(F.xxhash64("context").alias("h"), back.cast("float").alias("r")).toPandas()
+            .select(F.xxhash64(F.concat("context", "next")).alias("h"), F.log(p("t", "_t", "_mt") / p("o", "_o", "_mo")).cast("float").alias("r")).toArrow())
+    backs = total.select(F.xxhash64("context").alias("h"), back.cast("float").alias("r")).toArrow()
 
-    def by_hash(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        h = rows["h"].to_numpy(np.int64).view(np.uint64)
+    def by_hash(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        # Arrow columns, not a Python object for each row
+        h = rows["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
-        return h[order], rows["r"].to_numpy(np.float32)[order]
+        return h[order], rows["r"].to_numpy()[order]
 
     return Model(*by_hash(rows), *by_hash(backs))
 
