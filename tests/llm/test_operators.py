@@ -278,6 +278,23 @@ def test_toxicity_held_out(spark):
     assert held[held.predicted == 1].toxic.mean() > 0.9
 
 
+def test_toxicity_rare_words_in_large_input(spark):
+    """A context in six of 80,000 toxic training documents counts as in a small input."""
+    n_toxic, n_ordinary = 120_000, 41_000
+    fold = [zlib.crc32(str(i).encode()) % 3 for i in range(200)]
+    planted = [[i for i in range(200) if fold[i] == k][:3] for k in (0, 2)]
+    rare = F.col("doc_id").isin(sum(planted, []))
+    docs = spark.range(n_toxic + n_ordinary).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") >= n_toxic + 1_000, "zebra common").otherwise("common").alias("text"))
+    docs = docs.withColumn("text", F.when(rare, "zebrx common").otherwise(F.col("text")))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") < n_toxic).cast("int").alias("toxic"))
+    new = spark.createDataFrame([(-1, "zebrx common"), (-2, "common"), (-2, "common"), (-3, "zebra common"), (None, None)], "doc_id long, text string")
+    scored = toxicity.score_documents(spark, docs.unionByName(new), labels).where("doc_id < 0 OR doc_id IS NULL").collect()
+    r = {x.doc_id: x.score for x in scored}
+    assert len(scored) == 5 and r[-1] > r[-2] + 0.01 and r[-2] == r[-3] == r[None]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
