@@ -26,8 +26,8 @@ end of a context.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` lose
 nothing; rows that repeat an id and text count as one document; a null id
-comes before all others.  Texts that share an id are taken as one document's
-places: what goes from one at some place goes from the others there too.
+comes before all others.  Different texts that share an id are documents of
+their own, in the order of the texts' hashes.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,7 +50,7 @@ SHARD = 512         # contexts whose transform is built at once
 BUCKET = 4096       # contexts that a bucket holds on average
 _CHUNK = 1 << 20    # bytes of a text that are hashed at once
 _BASE = 0x9E3779B97F4A7C15
-_CONTEXT = "key long, start long, n long, anchor long, ctx long, twice long"
+_CONTEXT = "key long, th long, start long, n long, anchor long, ctx long, twice long"
 
 _tables: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -113,9 +113,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cols = [np.concatenate(c) for c in zip(*held)]
             return pa.RecordBatch.from_arrays([pa.array(c.astype(np.uint64).view(np.int64)) for c in cols], names)
 
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for key, th, text in zip(batch.column("key").to_pylist(), batch.column("th").to_pylist(), batch.column("text")):
             for start, n, anchor, ctx, twice in contexts(np.frombuffer(text.as_buffer(), np.uint8)):
-                held.append((np.full(len(start), key, np.int64).view(np.uint64), start, n, anchor, ctx, twice))
+                held.append((*(np.full(len(start), k, np.int64).view(np.uint64) for k in (key, th)), start, n, anchor, ctx, twice))
                 size += len(start)
             if size > 100_000:
                 yield rows()
@@ -224,48 +224,54 @@ def repeated(strings: list[bytes], place: np.ndarray, start: np.ndarray) -> tupl
 
 def _bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     strings = pdf["piece"].tolist()
-    key, start = pdf["key"].to_numpy(np.int64), pdf["start"].to_numpy(np.int64)
-    string, offset = repeated(strings, key, start)
-    out = pd.DataFrame({"key": key[string], "a": start[string] + offset}).drop_duplicates().sort_values(["key", "a"])
+    start = pdf["start"].to_numpy(np.int64)
+    texts, place = np.unique(pdf[["key", "th"]].to_numpy(np.int64), axis=0, return_inverse=True)
+    place = place.reshape(-1)
+    string, offset = repeated(strings, place, start)
+    out = pd.DataFrame({"place": place[string], "a": start[string] + offset}).drop_duplicates().sort_values(["place", "a"])
     # windows in a row as one range
-    k, a = out["key"].to_numpy(), out["a"].to_numpy()
+    k, a = out["place"].to_numpy(), out["a"].to_numpy()
     first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (a[1:] != a[:-1] + 1)])) if len(k) else np.empty(0, np.int64)
     last = np.append(first[1:], len(k)) - 1 if len(k) else first
-    return pd.DataFrame({"key": k[first], "a": a[first], "b": a[last] + LENGTH})
+    return pd.DataFrame({"key": texts[k[first], 0], "th": texts[k[first], 1], "a": a[first], "b": a[last] + LENGTH})
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for key, text, wanted in zip(batch.column("key").to_pylist(), batch.column("text"), batch.column("wanted").to_pylist()):
+        for key, th, text, wanted in zip(batch.column("key").to_pylist(), batch.column("th").to_pylist(), batch.column("text"), batch.column("wanted").to_pylist()):
             raw = text.as_buffer().to_pybytes()
-            out += [(w["anchor"], key, w["start"], raw[w["start"]:w["start"] + w["n"] + LENGTH - 1]) for w in wanted]
+            out += [(w["anchor"], key, th, w["start"], raw[w["start"]:w["start"] + w["n"] + LENGTH - 1]) for w in wanted]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                             ["anchor", "key", "start", "piece"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                             ["anchor", "key", "th", "start", "piece"])
+
+
+def _identity(doc_id: str, text: str) -> list[Column]:
+    """Key and hash of a document's text: together they name it."""
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text_or_empty(text)).alias("th")]
 
 
 def repeats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, a, b): byte ranges of strings that occur earlier; they may
-    overlap.  ``key`` is the document's id."""
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
-    texts = docs.select(key.alias("key"), text_or_empty(text).alias("text"))
+    """(key, th, a, b): byte ranges of strings that occur earlier; they may
+    overlap.  ``key`` is the document's id, ``th`` the hash of its text."""
+    texts = docs.select(*_identity(doc_id, text), text_or_empty(text).alias("text"))
     found = texts.mapInArrow(_contexts, _CONTEXT)
     group = W.partitionBy("anchor")
     found = (found.withColumn("_least", F.min("ctx").over(group)).withColumn("_most", F.max("ctx").over(group))
-             .withColumn("first", F.rank().over(W.partitionBy("anchor", "ctx").orderBy("key", "start")) == 1)
+             .withColumn("first", F.rank().over(W.partitionBy("anchor", "ctx").orderBy("key", "th", "start")) == 1)
              .where(~F.col("first") | (F.col("_least") != F.col("_most")) | (F.col("twice") > 0)))
-    found = staged(spark, found.select("key", "start", "n", "anchor", "first"), "contexts")
-    whole = found.where("NOT first").select("key", F.col("start").alias("a"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("b"))
-    several = found.where("first").select("key", "start", "n", "anchor").distinct()
-    wanted = staged(spark, several.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted")), "wanted")
+    found = staged(spark, found.select("key", "th", "start", "n", "anchor", "first"), "contexts")
+    whole = found.where("NOT first").select("key", "th", F.col("start").alias("a"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("b"))
+    several = found.where("first").select("key", "th", "start", "n", "anchor").distinct()
+    wanted = staged(spark, several.groupBy("key", "th").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted")), "wanted")
     n = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
     buckets = max(1, -(-n // BUCKET))
     side = small_side(wanted) if n <= 2_000_000 else wanted
-    pieces = (texts.join(side, "key").select("key", "text", "wanted")
-              .mapInArrow(_cut_out, "anchor long, key long, start long, piece binary"))
+    pieces = (texts.join(side, ["key", "th"]).select("key", "th", "text", "wanted")
+              .mapInArrow(_cut_out, "anchor long, key long, th long, start long, piece binary"))
     inside = (pieces.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-              .groupBy("bucket").applyInPandas(_bucket, "key long, a long, b long"))
+              .groupBy("bucket").applyInPandas(_bucket, "key long, th long, a long, b long"))
     return whole.unionByName(inside)
 
 
@@ -293,10 +299,9 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: what is left of its bytes, and counts."""
-    spans = staged(spark, repeats(spark, docs).distinct().groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text_or_empty("text").alias("text"))
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(_remove, RESULT)
+    spans = staged(spark, repeats(spark, docs).distinct().groupBy("key", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_identity("doc_id", "text"), text_or_empty("text").alias("text"))
+    return rows.join(spans, ["key", "th"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, RESULT)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:

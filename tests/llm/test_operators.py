@@ -198,6 +198,15 @@ def test_repeats(spark, documents, monkeypatch):
     assert set(zip(string.tolist(), offset.tolist())) == expected
 
 
+def test_suffixes_of_texts_with_one_id(spark):
+    rnd = random.Random(9)
+    one, two, three, four = ("".join(rnd.choice("abcdefgh ") for _ in range(400)) for _ in range(4))
+    # the repeated 200 characters stand at the end of one text, the other text of its id is cut nowhere
+    rows = [(1, one), (2, two + one[:200]), (2, three + three[:50]), (None, four), (None, two[:150] + three[:120]), (3, four)]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in suffixdup.dedup_documents(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 400, 0, 0), (2, 600, 350, 2), (2, 450, 120, 1), (None, 400, 0, 0), (None, 270, 0, 0), (3, 400, 400, 1)], key=str)
+
+
 def test_packing(spark, documents):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.default_tokenizer())
