@@ -24,6 +24,11 @@ suffixes with a common prefix of ``LENGTH`` bytes: all but the earliest of an
 interval are repeats.  No suffix is sorted again, and no match crosses the
 end of a context.
 
+A hash with more than ``BUCKET`` different contexts (at the edge of a passage
+that many documents hold, there is one for each neighbourhood) is not merged in
+one task: the windows of its contexts are grouped by the 128-bit hash of their
+bytes, and all but the earliest of a group are repeats.
+
 Defined results: null text is empty; texts shorter than ``LENGTH`` lose
 nothing; rows that repeat an id and text count as one document; a null id
 comes before all others.  Different texts that share an id are documents of
@@ -38,6 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,7 +53,7 @@ from flowspark.llm.common import small_side, staged, text_or_empty
 LENGTH = 100
 GRAM = 40
 SHARD = 512         # contexts whose transform is built at once
-BUCKET = 4096       # contexts that a bucket holds on average
+BUCKET = 4096       # contexts that a bucket holds on average, and a hash at most
 _CHUNK = 1 << 20    # bytes of a text that are hashed at once
 _BASE = 0x9E3779B97F4A7C15
 _CONTEXT = "key long, th long, start long, n long, anchor long, ctx long, twice long"
@@ -247,6 +253,31 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["anchor", "key", "th", "start", "piece"])
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, key, th, a): each window of LENGTH bytes of the pieces."""
+    for batch in _cut_out(batches):
+        key, th, start = (batch.column(c).to_numpy() for c in ("key", "th", "start"))
+        pieces = [p.as_py() for p in batch.column("piece")]
+        for lo in range(0, len(pieces), 1000):
+            part = pieces[lo:lo + 1000]
+            size = np.array([len(p) - LENGTH + 1 for p in part], np.int64)
+            at = np.repeat(np.arange(lo, lo + len(part)), size)
+            a = start[at] + np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+            window = [xxhash.xxh3_128_digest(p[i:i + LENGTH]) for p, n in zip(part, size.tolist()) for i in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array(window, pa.binary()), pa.array(key[at]), pa.array(th[at]), pa.array(a)],
+                                             ["window", "key", "th", "a"])
+
+
+def _later_windows(spark: SparkSession, windows: DataFrame) -> DataFrame:
+    """(key, th, a, b) of every window that also stands earlier."""
+    windows = staged(spark, windows.distinct(), "windows")
+    place = F.struct("key", "th", "a")
+    first = staged(spark, windows.groupBy("window").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+                   .where("_n > 1").drop("_n"), "firsts")
+    return (windows.join(small_side(first), "window").where(place != F.col("_first"))
+            .select("key", "th", "a", (F.col("a") + LENGTH).alias("b")))
+
+
 def _identity(doc_id: str, text: str) -> list[Column]:
     """Key and hash of a document's text: together they name it."""
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text_or_empty(text)).alias("th")]
@@ -264,15 +295,23 @@ def repeats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
     found = staged(spark, found.select("key", "th", "start", "n", "anchor", "first"), "contexts")
     whole = found.where("NOT first").select("key", "th", F.col("start").alias("a"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("b"))
     several = found.where("first").select("key", "th", "start", "n", "anchor").distinct()
-    wanted = staged(spark, several.groupBy("key", "th").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted")), "wanted")
-    n = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    buckets = max(1, -(-n // BUCKET))
-    side = small_side(wanted) if n <= 2_000_000 else wanted
-    pieces = (texts.join(side, ["key", "th"]).select("key", "th", "text", "wanted")
-              .mapInArrow(_cut_out, "anchor long, key long, th long, start long, piece binary"))
-    inside = (pieces.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-              .groupBy("bucket").applyInPandas(_bucket, "key long, th long, a long, b long"))
-    return whole.unionByName(inside)
+    hot = staged(spark, several.groupBy("anchor").count().where(F.col("count") > BUCKET).select("anchor", F.lit(True).alias("hot")), "hot")
+    several = several.join(small_side(hot), "anchor", "left")
+    wanted = staged(spark, several.groupBy("key", "th", F.col("hot").isNotNull().alias("hot"))
+                    .agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted")), "wanted")
+    sums = {h: n for h, n in wanted.groupBy("hot").agg(F.sum(F.size("wanted"))).collect()}
+    out = whole
+    for split, n in sums.items():
+        side = wanted.where("hot" if split else "NOT hot").drop("hot")
+        held = texts.join(small_side(side) if n <= 2_000_000 else side, ["key", "th"]).select("key", "th", "text", "wanted")
+        if split:
+            inside = _later_windows(spark, held.mapInArrow(_windows, "window binary, key long, th long, a long"))
+        else:
+            pieces = held.mapInArrow(_cut_out, "anchor long, key long, th long, start long, piece binary")
+            inside = (pieces.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-n // BUCKET)))))
+                      .groupBy("bucket").applyInPandas(_bucket, "key long, th long, a long, b long"))
+        out = out.unionByName(inside)
+    return out
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"

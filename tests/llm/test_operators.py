@@ -207,6 +207,28 @@ def test_suffixes_of_texts_with_one_id(spark):
     assert sorted(got, key=str) == sorted([(1, 400, 0, 0), (2, 600, 350, 2), (2, 450, 120, 1), (None, 400, 0, 0), (None, 270, 0, 0), (3, 400, 400, 1)], key=str)
 
 
+def test_suffixes_split_a_hot_hash(spark, monkeypatch):
+    """No task gets more contexts of one hash than BUCKET, and the result stays that of brute force."""
+    rnd = random.Random(11)
+
+    def noise():
+        return "".join(rnd.choice("abcdefghij ") for _ in range(150))
+
+    passage = noise()
+    docs = [(i, noise() + passage + noise()) for i in range(12)] + [(20, noise() + passage[:120])]
+    bucket = suffixdup._bucket
+
+    def bounded(pdf):
+        assert pdf.groupby("anchor").size().max() <= 3
+        return bucket(pdf)
+
+    monkeypatch.setattr(suffixdup, "BUCKET", 3)
+    monkeypatch.setattr(suffixdup, "_bucket", bounded)
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixdup.dedup_documents(spark, rows).collect()}
+    assert got == _cut(docs)
+
+
 def test_packing(spark, documents):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.default_tokenizer())
