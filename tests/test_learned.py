@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import itertools
 import math
 
@@ -30,6 +31,23 @@ def test_early_stop_round():
     assert md.early_stop_round([1.0], 10) == 1
 
 
+def test_training_defaults_to_the_contract(monkeypatch):
+    """The registered queries' bundle is trained with all rounds of the contract."""
+    from types import SimpleNamespace
+
+    from flowspark.plans import fixtures, training as tr
+    used = []
+    monkeypatch.setattr(fixtures, "scaled_flows", lambda spark, sf: SimpleNamespace(df=None, params={}))
+    monkeypatch.setattr(tr.prep, "pack", lambda df: df)
+    monkeypatch.setattr(tr, "split_table", lambda df: df)
+    default = inspect.signature(tr.train_prepared).parameters["gbt"].default
+    monkeypatch.setattr(tr, "train_prepared", lambda spark, data, params, gbt=default: used.append(gbt))
+    tr.bundle_for(SimpleNamespace(sparkContext=SimpleNamespace(applicationId="none")), "nowhere")
+    used.append(inspect.signature(tr.train).parameters["gbt"].default)
+    assert [(g.max_iter, g.early_stop) for g in used] == [(config.GBT_MAX_ROUNDS, config.GBT_EARLY_STOP)] * 2
+    assert config.GBT_MAX_ROUNDS == 200
+
+
 def _brute_shap(lt, x, bg):
     n = x.shape[0]
 
