@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +42,27 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A narrow, written table as the side of a join: broadcast if it is
     counted to be small, shuffled if not."""
     return F.broadcast(df) if df.count() <= rows else df
+
+# lower-cases A-Z alone
+ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+def slices(text: str, gap: re.Pattern, size: int = 1 << 20) -> Iterator[str]:
+    """``text`` in parts of about ``size`` code points, each cut before a
+    match of ``gap``; a longer stretch without one stays whole."""
+    at = 0
+    while len(text) - at > size:
+        m = gap.search(text, at + size)
+        if m is None:
+            break
+        yield text[at:m.start()]
+        at = m.start()
+    yield text[at:] if at else text
+
+
+def byte_letters() -> list[str]:
+    """The printable characters that byte-level vocabularies write bytes as:
+    printable Latin-1 stands for itself, the rest follows from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]

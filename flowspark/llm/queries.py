@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm import chat, decontam, fingerprint, langid, license, packing, secretscan, simhash, suffixdup, toxicity
+from flowspark.llm import (bpe, chat, decontam, divergence, fingerprint, langid, license, packing, secretscan, simhash,
+                           spelling, suffixdup, toxicity)
 from flowspark.llm.common import table
 
 
@@ -53,8 +54,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language, op2_secrets, op3_simhash, op4_licenses, op5_suffixes, op6_packing, op7_chat,
-                            op8_decontamination, op9_fingerprints, op10_toxicity)}
+                            op8_decontamination, op9_fingerprints, op10_toxicity, op11_bpe, op12_spelling, op13_divergence)}
 
-ORACLE: dict[str, str] = {"op8_decontamination": decontam.LEAKS_SQL}
+ORACLE: dict[str, str] = {
+    "op8_decontamination": decontam.LEAKS_SQL, "op12_spelling": spelling.SPELLING_SQL, "op13_divergence": divergence.AUDIT_SQL}
