@@ -34,14 +34,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import ASCII_LOWER, slices, staged, text_or_empty
+from flowspark.llm.common import slices, staged, text_or_empty
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-HELD = 200_000          # counts a task holds before it hands them on
+HELD = 500_000          # counts a task holds before it hands them on
 BLOCK_CELLS = 400_000   # counts of a block of run-length columns
+BLOCK_SIZE = 8_000_000  # its rows times its columns
 
 _TERM, _GAP = re.compile(TERM), re.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -56,9 +57,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in held.items():
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()),
-                     pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()),
-                     pa.array([docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
+                    [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(n.keys(), pa.string()),
+                     pa.array(n.values(), pa.int64()), pa.array(map(docs.__getitem__, n), pa.int64())],
+                    ["lang", "source", "term", "n", "docs"])
         held.clear()
 
     size = 0
@@ -69,7 +70,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before = len(n)
                 seen: set[str] = set()
                 for part in slices(text, _GAP):
-                    terms = _TERM.findall(part.translate(ASCII_LOWER))
+                    terms = _TERM.findall(part.encode().lower().decode())    # of bytes, lower() is A-Z alone
                     n.update(terms)
                     seen.update(terms)
                 docs.update(seen)
@@ -104,40 +105,58 @@ def penalty(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list]]:
-    """Rows in order, cut into blocks of one language: (lang, cells, lengths)."""
-    lang, cells, lengths, size = None, [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch], columns: dict[str, int]) -> Iterator[tuple[str, pa.Table]]:
+    """Rows (lang, cells, length) in order, cut into blocks of one language.
+    ``columns``: how many sources a language has."""
+    held: list[pa.RecordBatch] = []
+    lang, rows, size = None, 0, 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            some = batch.slice(at, 1024)
-            for x, row, length in zip(*[c.to_pylist() for c in some.columns]):
-                if cells and (x != lang or size > BLOCK_CELLS):
-                    yield lang, cells, lengths
-                    cells, lengths, size = [], [], 0
-                lang = x
-                cells.append(row)
-                lengths.append(length)
-                size += len(row) + 1
-    if cells:
-        yield lang, cells, lengths
-
-
-def run_lengths(cells: list, lengths: list[int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Each source's column over the rows as runs: (ends, counts).  Sources
-    without a count in the block have no column: theirs is one run of 0."""
-    row_ends = np.cumsum(np.array(lengths, np.int64))
-    at: dict[str, list[int]] = {}
-    n: dict[str, list[int]] = {}
-    for i, row in enumerate(cells):
-        for c in row:
-            at.setdefault(c["source"], []).append(i)
-            n.setdefault(c["source"], []).append(c["n"])
+        codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        starts = np.append(0, np.flatnonzero(np.diff(codes)) + 1).tolist() if len(codes) else []
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            for at in range(start, end, 1024):
+                some = batch.slice(at, min(1024, end - at))
+                its = some.column(0)[0].as_py()
+                if held and (its != lang or size > BLOCK_CELLS or rows * columns[lang] > BLOCK_SIZE):
+                    yield lang, pa.Table.from_batches(held)
+                    held, rows, size = [], 0, 0
+                lang = its
+                held.append(some)
+                rows += some.num_rows
+                size += len(some.column(1).flatten())
+    if held:
+        yield lang, pa.Table.from_batches(held)
+
+
+class Runs:
+    """A column over the rows of a block, run-length encoded: which rows end
+    a run, which run each row is in, and the runs' counts."""
+
+    def __init__(self, column: np.ndarray):
+        self.ends = np.append(column[1:] != column[:-1], True)
+        self.run = np.cumsum(self.ends) - self.ends
+        self.counts = column[self.ends]
+
+
+def run_lengths(cells: pa.ListArray, sources: list[str]) -> dict[str, Runs]:
+    """The columns of ``sources`` over rows of (source, n) lists; those
+    without a count are one run of 0."""
+    flat = cells.flatten()
+    row = np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    coded = flat.field("source").dictionary_encode()
+    code, n = coded.indices.to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
+    by_code = np.argsort(code, kind="stable")
+    bounds = np.searchsorted(code[by_code], np.arange(len(coded.dictionary) + 1))
+    at = {s: by_code[bounds[k]:bounds[k + 1]] for k, s in enumerate(coded.dictionary.to_pylist())}
+    none = Runs(np.zeros(len(cells), np.int64))
     out = {}
-    for source, rows in at.items():
-        column = np.zeros(len(cells), np.int64)
-        column[rows] = n[source]
-        last = np.append(np.flatnonzero(column[1:] != column[:-1]), len(column) - 1)
-        out[source] = row_ends[last], column[last]
+    for source in sources:
+        if source in at:
+            column = np.zeros(len(cells), np.int64)
+            column[row[at[source]]] = n[at[source]]
+            out[source] = Runs(column)
+        else:
+            out[source] = none
     return out
 
 
@@ -151,26 +170,23 @@ def _compare(totals: dict[str, dict[str, int]]):
     """Partial sums of f over the blocks of a task, by ordered pair of groups.
     ``totals``: N + V of the groups, by lang and source."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, cells, lengths in _blocks(batches):
-            size = int(sum(lengths))
-            columns = run_lengths(cells, lengths)
-            empty = np.array([size], np.int64), np.zeros(1, np.int64)
-            runs = {}
-            for source, total in totals[lang].items():
-                ends, counts = columns.get(source, empty)
-                runs[source] = ends, _shares(counts, total)
-            for a, (a_ends, p) in runs.items():
+        for lang, block in _blocks(batches, {k: len(v) for k, v in totals.items()}):
+            before = np.append(0, np.cumsum(block.column("length").to_numpy()))    # terms before each row
+            cells = pa.concat_arrays(block.column("cells").chunks)
+            columns = run_lengths(cells, list(totals[lang]))
+            shares = {s: _shares(c.counts, totals[lang][s]) for s, c in columns.items()}
+            for a, x in columns.items():
                 items, values = [], []
-                for b, (b_ends, q) in runs.items():
+                for b, y in columns.items():
                     if a != b:
-                        ends = np.union1d(a_ends, b_ends)
-                        x, y = p[np.searchsorted(a_ends, ends)], q[np.searchsorted(b_ends, ends)]
+                        ends = np.flatnonzero(x.ends | y.ends)
+                        p, q = shares[a][x.run[ends]], shares[b][y.run[ends]]
                         items.append(b)
-                        values.append(int(((x - y) * (x - y) // y * np.diff(ends, prepend=0)).sum()))
+                        values.append(int(((p - q) * (p - q) // q * np.diff(before[ends + 1], prepend=0)).sum()))
                 if items:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(items), pa.string()), pa.array([a] * len(items), pa.string()),
-                         pa.array(items, pa.string()), pa.array(values, pa.int64())], ["lang", "source", "item", "value"])
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(items)), pa.repeat(a, len(items)),
+                                                      pa.array(items, pa.string()), pa.array(values, pa.int64())],
+                                                     ["lang", "source", "item", "value"])
     return run
 
 
@@ -207,7 +223,7 @@ def _pairs(spark: SparkSession, terms: DataFrame, groups: DataFrame) -> DataFram
     for r in groups.where(F.col("v") > 0).select("lang", "source", (F.col("group_n") + F.col("v")).alias("t")).collect():
         totals.setdefault(r["lang"], {})[r["source"]] = r["t"]
     sums = (rows.repartitionByRange("lang", "cells").sortWithinPartitions("lang", "cells")
-            .mapInArrow(_compare(totals), "lang string, source string, item string, value long")
+            .select("lang", "cells", "length").mapInArrow(_compare(totals), "lang string, source string, item string, value long")
             .groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))
     pairs = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").where(
         "source <> item")

@@ -185,16 +185,19 @@ def test_blocks_add_up(spark, monkeypatch):
     """Small blocks and slices, and counts beyond 64 bits on the way."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang <> 'en'")
     terms = divergence.term_counts(docs).select("lang", "cells").toArrow()
-    totals = {lang: {s: 10 ** 12 + k for k, s in enumerate(["src0", "src1", "src2", "none"])} for lang in ("de", "fr", "es")}
+    totals = {lang: {s: 10 ** 17 + k for k, s in enumerate(["src0", "src1", "src2", "none"])} for lang in ("de", "fr", "es")}
     table = sorted([r for r in terms.to_pylist() if r["lang"] in totals], key=lambda r: (r["lang"], [tuple(c.values()) for c in r["cells"]]))
     import pyarrow as pa
     for r in table:
-        r["cells"] = [c | {"n": c["n"] * 10 ** 11} for c in r["cells"] if c["source"] in ("src0", "src1", "src2")]
+        r["cells"] = [c | {"n": c["n"] * 10 ** 12} for c in r["cells"] if c["source"] in ("src0", "src1", "src2")]
         r["length"] = 2
+    table = [{"lang": r["lang"], "cells": r["cells"], "length": 2} for r in table]
+    kind = pa.schema([("lang", pa.string()), ("cells", pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))),
+                      ("length", pa.int64())])
     sums: dict[int, dict] = {}
     for block in (3, 10 ** 6):
         monkeypatch.setattr(divergence, "BLOCK_CELLS", block)
-        for b in divergence._compare(totals)(iter(pa.Table.from_pylist(table).to_batches())):
+        for b in divergence._compare(totals)(iter(pa.Table.from_pylist(table, kind).to_batches(3000))):
             for lang, a, item, value in zip(*[c.to_pylist() for c in b.columns]):
                 key = lang, a, item
                 sums.setdefault(block, {})[key] = sums.get(block, {}).get(key, 0) + value
@@ -211,10 +214,13 @@ def test_blocks_add_up(spark, monkeypatch):
 
 def test_runs_are_shorter_than_the_vocabulary(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'")
-    rows = divergence.term_counts(docs).groupBy("cells").count().orderBy("cells").collect()
-    columns = divergence.run_lengths([[c.asDict() for c in r["cells"]] for r in rows], [r["count"] for r in rows])
-    v = sum(r["count"] for r in rows)
-    assert all(ends[-1] == v and len(ends) < v / 2 for ends, _ in columns.values())
+    rows = divergence.term_counts(docs).groupBy("cells").count().orderBy("cells").toArrow()
+    columns = divergence.run_lengths(rows.column("cells").combine_chunks(), ["src0", "src1", "none"])
+    v = sum(rows.column("count").to_pylist())
+    assert all(len(c.counts) < v / 2 for c in columns.values())
+    assert columns["none"].counts.tolist() == [0] and columns["src0"].run[-1] == len(columns["src0"].counts) - 1
+    want = [dict((c["source"], c["n"]) for c in r).get("src0", 0) for r in rows.column("cells").to_pylist()]
+    assert columns["src0"].counts[columns["src0"].run].tolist() == want
 
 
 def test_exact_shares(spark):
