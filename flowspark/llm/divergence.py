@@ -84,10 +84,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, term, kept columns): of every term in at least LEAST_DOCS
     documents of its language, ``cells``: (source, n) by source, and ``n``."""
-    rows = (docs.mapInArrow(_count, COUNTS).groupBy("lang", "term", "source")
-            .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    # one shuffle, by term: both groupings find their rows in place
+    rows = (docs.select("lang", "source", "text").mapInArrow(_count, COUNTS).repartition("lang", "term")
+            .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     return (rows.groupBy("lang", "term")
-            .agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("cells"), F.sum("n").alias("n"),
+            .agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("cells"), F.sum("n").alias("n"),
                  F.sum("docs").alias("docs"))
             .where(F.col("docs") >= LEAST_DOCS).drop("docs"))
 
