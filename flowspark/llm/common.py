@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,17 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     counted to be small, shuffled if not."""
     return F.broadcast(df) if df.count() <= rows else df
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts whose strings of ``column`` have about ``limit``
+    bytes; a longer one is alone."""
+    if batch.num_rows:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = np.cumsum(sizes) // limit
+        starts = np.append(0, np.flatnonzero(np.diff(part)) + 1).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 # lower-cases A-Z alone
 ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 

@@ -13,8 +13,10 @@ document is ``und``.  Columns named like the results are replaced.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import id_crc
+from flowspark.llm.common import id_crc, slices
 
 UNKNOWN = "und"
 TOP = 300          # n-grams in a profile, and in a document's own ranking
@@ -31,8 +33,9 @@ ORDERS = (1, 2, 3)
 HELD_OUT_FOLDS = 5
 MIN_SCORE = 0.02   # a document below this shares next to nothing with any profile
 _SPACE = 1         # code of a run of characters that are no letters
+_WHITE = re.compile(r"\s")
 _GATHER = 500_000   # codes of a language that are counted at once
-_FLUSH = 4_000_000  # codes and n-grams that a task holds before it emits them
+_FLUSH = 2_000_000  # codes and n-grams that a task holds before it emits them
 
 _letters: np.ndarray | None = None
 
@@ -44,23 +47,43 @@ def _letter_table() -> np.ndarray:
     return _letters
 
 
-def gram_codes(text: str) -> np.ndarray:
-    """The n-grams of a text as integers of 21 bits a character: letters in
-    lower case, each run of other characters as one space, a space at both
-    ends.  Empty if there is no letter."""
+def _symbols(text: str) -> np.ndarray:
+    """Letters in lower case, any other character a space."""
     a = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    a = np.where(_letter_table()[a], a, np.uint32(_SPACE)).astype(np.uint64)
-    a = np.concatenate([[np.uint64(_SPACE)], a, [np.uint64(_SPACE)]]).astype(np.uint64)
-    a = a[np.concatenate([[True], (a[1:] != _SPACE) | (a[:-1] != _SPACE)])]
-    if len(a) < 3:
-        return np.empty(0, np.uint64)
-    out, gram = [a[a != _SPACE]], a
-    for n in ORDERS[1:]:
-        if len(a) < n:
-            break
-        gram = (gram[:-1] << np.uint64(21)) | a[n - 1:]
-        out.append(gram)
-    return np.concatenate(out)
+    return np.where(_letter_table()[a], a, np.uint32(_SPACE)).astype(np.uint64)
+
+
+def gram_codes(text: str) -> Iterator[np.ndarray]:
+    """The n-grams of a text as integers of 21 bits a character, slice by
+    slice: letters in lower case, each run of other characters as one space,
+    a space at both ends.  None if there is no letter."""
+    before = np.array([_SPACE], np.uint64)      # the last symbols of the slice before
+    for part in (*slices(text, _WHITE), ""):
+        a = np.concatenate([before, _symbols(part) if part else np.array([_SPACE], np.uint64)])
+        a = a[np.concatenate([[True], (a[1:] != _SPACE) | (a[:-1] != _SPACE)])]
+        new = len(a) - len(before)
+        if new > 0:
+            own = a[len(before):]
+            out, gram = [own[own != _SPACE]], a
+            for n in ORDERS[1:]:
+                if len(a) < n:
+                    break
+                gram = (gram[:-1] << np.uint64(21)) | a[n - 1:]
+                out.append(gram[-new:] if len(gram) > new else gram)
+            yield np.concatenate(out)
+        before = a[-(ORDERS[-1] - 1):]
+
+
+def top_codes(text: str, top: int) -> np.ndarray:
+    """The ``top`` most frequent n-grams of a text, ties by code."""
+    parts = list(islice(codes := gram_codes(text), 2))
+    if len(parts) < 2 or len(text) <= _GATHER:
+        return ranked(np.concatenate([*parts, *codes]) if parts else np.empty(0, np.uint64), top)
+    counts = _Counts()
+    for c in chain(parts, codes):
+        counts.add(c)
+    counts.count()
+    return counts.grams[np.argsort(-counts.n, kind="stable")[:top]]
 
 
 def ranked(codes: np.ndarray, top: int) -> np.ndarray:
@@ -102,7 +125,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            held[lang].add(gram_codes(text.as_py()))
+            for codes in gram_codes(text.as_py()):
+                held[lang].add(codes)
             if sum(len(c.n) + c.size for c in held.values()) > _FLUSH:
                 yield from emit()
     yield from emit()
@@ -141,7 +165,7 @@ class Profiles:
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """The nearest language and 1 - distance / the largest distance."""
-        own = ranked(gram_codes(text), self.top) if text else ()
+        own = top_codes(text, self.top) if text else ()
         if not len(own) or not self.langs:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)

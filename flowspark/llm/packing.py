@@ -21,10 +21,11 @@ id or repeated rows are packed like any other.
 from __future__ import annotations
 
 import bisect
-import itertools
 import json
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import staged, text_or_empty
+from flowspark.llm.common import by_bytes, byte_letters, slices, staged, text_or_empty
 
 MAX_LEN = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
+LONG = 1 << 20      # bytes of a text from which it is encoded by slices
+_JOINT = re.compile(r"(?<=\S) (?=\S)")     # a single space: no token reaches across its left side
 BUCKETS = 64        # shares in which the pieces of one size are ranked
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -55,20 +58,46 @@ class Encoder:
     The vocabulary's splitter never joins a character before a single space
     with what follows it, so texts are encoded space by space, each distinct
     chunk of a batch once.  A text with other white space next to a space is
-    encoded whole.  Strings of special tokens in a text are text."""
+    encoded whole.  A text is cut at the file's added tokens first: each
+    stands for its own id."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        ranks = {_token_bytes(t): i for t, i in vocabulary.items() if not t.startswith("<|")}
+            spec = json.load(f)
+        vocabulary = spec["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.added_at = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
+        ranks = {_token_bytes(t): i for t, i in vocabulary.items() if t not in self.added}
         self.encode = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
         self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.bytes_of[i] = len(token)
 
+    def texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; a long one is encoded by slices."""
+        plain = np.ones(len(texts), bool)
+        for token in self.added:
+            plain &= pc.invert(pc.match_substring(texts, token)).to_numpy(zero_copy_only=False)
+        plain &= pc.less(pc.binary_length(texts), LONG).to_numpy(zero_copy_only=False)
+        ids = self.batch(texts.filter(pa.array(plain)))
+        for k, easy in enumerate(plain.tolist()):
+            yield next(ids) if easy else self.one(texts[k].as_py())
+
+    def one(self, text: str) -> np.ndarray:
+        """The ids of one text, by slices between added tokens."""
+        out, at = [np.empty(0, np.uint32)], 0
+        for m in [*self.added_at.finditer(text), None]:
+            part = text[at:m.start()] if m else text[at:]
+            for some in slices(part, _JOINT) if part else ():
+                out += self.batch(pa.array([some], pa.string()))
+            if m:
+                out.append(np.array([self.added[m.group()]], np.uint32))
+                at = m.end()
+        return np.concatenate(out)
+
     def batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
         pieces = pc.split_pattern(texts.cast(pa.large_string()), " ")
@@ -99,36 +128,36 @@ class Encoder:
             yield np.concatenate([np.array(self.encode(first), np.uint32), body])
 
 
-def _byte_of() -> dict[str, int]:
-    """The printable characters that byte-level vocabularies write bytes as:
-    printable Latin-1 stands for itself, the rest follows from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-_BYTES = _byte_of()
+_BYTES = {letter: byte for byte, letter in enumerate(byte_letters())}
 
 
 def _token_bytes(token: str) -> bytes:
     return bytes(_BYTES[c] for c in token)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One a worker process."""
+    return Encoder(path)
+
+
 def _cut(path: str, max_len: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        of = encoder(path)
         for batch in batches:
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1))):
-                ids = np.append(ids, end_id).astype("<u4")
-                n = len(ids)
-                first = n % max_len or max_len
-                starts = [0, *range(first, n, max_len), n]
-                for k in range(len(starts) - 1):
-                    part = ids[starts[k]:starts[k + 1]].tobytes()
-                    rows.append((doc, k, starts[k], len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-            if rows:
-                cols = list(zip(*rows))
+            for some in by_bytes(batch, 1):
+                cols: list[list] = [[], [], [], [], [], []]
+                for doc, ids in zip(some.column(0).to_pylist(), of.texts(some.column(1))):
+                    ids = np.append(ids, end_id).astype("<u4")
+                    n = len(ids)
+                    starts = [0, *range(n % max_len or max_len, n, max_len)]
+                    parts = [memoryview(ids[a:b]).cast("B") for a, b in zip(starts, [*starts[1:], n])]
+                    cols[0] += [doc] * len(parts)
+                    cols[1] += range(len(parts))
+                    cols[2] += starts
+                    cols[3] += [len(p) // 4 for p in parts]
+                    cols[4] += map(zlib.crc32, parts)
+                    cols[5] += [bytes(p) if keep_ids else None for p in parts]
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                                  ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])

@@ -23,6 +23,7 @@ the results are replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import small_side, staged, text_or_empty
+from flowspark.llm.common import slices, small_side, staged, text_or_empty
 from flowspark.llm.components import components
 
 SHINGLE = 3
@@ -40,27 +41,33 @@ MAX_BITS = 2
 SEED = 42
 STRIDE = 4          # bits by which the table of node pairs goes down
 CAPACITY = 65_536   # fingerprints that a task joins at once
+_SPACES = re.compile("[\x20\x09-\x0D]")
 _PAIRS = 1 << 19    # node pairs that a task expands at once
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """Unsigned 64 bits; only A-Z are lowered, words end at ASCII spaces."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        h = np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
-    else:
+    """Unsigned 64 bits; only A-Z are lowered, words end at ASCII spaces.  A
+    long text is read by slices, which share ``shingle - 1`` words."""
+    bits, total, words = np.zeros(64, np.int64), 0, []
+    digest = xxhash.xxh64_intdigest
+    for part in slices(text, _SPACES):
+        words += part.encode("utf-8", "surrogatepass").lower().split()
+        if len(words) < shingle:
+            continue
         line = b" ".join(words)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         begins = np.concatenate([[0], ends[:-shingle]]).tolist()
-        digest = xxhash.xxh64_intdigest
         h = np.fromiter((digest(line[a:b], SEED) for a, b in zip(begins, (ends[shingle - 1:] - 1).tolist())),
                         np.uint64, len(begins))
-    bits = np.zeros(64, np.int64)
-    for part in np.array_split(h, -(-len(h) // 65_536)):   # bounded memory for long texts
-        bits += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
-    return int(np.packbits(bits * 2 > len(h), bitorder="little").view("<u8")[0])
+        for some in np.array_split(h, -(-len(h) // 65_536)):
+            bits += np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        total += len(h)
+        words = words[len(words) - shingle + 1:]
+    if not total:
+        if not words:
+            return 0
+        return digest(b" ".join(words), SEED)
+    return int(np.packbits(bits * 2 > total, bitorder="little").view("<u8")[0])
 
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
