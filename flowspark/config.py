@@ -46,8 +46,8 @@ CLIP_LIMIT = 1e9                 # features clipped to [-1e9, 1e9]
 BENIGN = "BENIGN"
 ATTACK = "ATTACK"
 SEED = 42
-SCALER_SAMPLE_ROWS = 100_000     # scaler fit sample size
-AE_SAMPLE_ROWS = 100_000         # autoencoder benign sample size
+AE_SAMPLE_ROWS = 100_000         # benign rows that the autoencoder's weights are fitted on, at most
+AE_SHARDS = 4                    # shards of its local training
 BACKGROUND_ROWS = 200            # explanation background sample size
 SMOKE_SAMPLE_ROWS = 20           # smoke-run sample size
 VALIDATION_FRACTION = 0.2        # 80/20 splits
@@ -55,7 +55,6 @@ TOP_FEATURES = 15                # explanation rows per flow
 PREVIEW_ROWS = 50                # dataset preview
 LOG_TAIL_ROWS = 100              # monitor log tail
 RESULT_HEAD_ROWS = 20            # smoke-run result head
-REFERENCE_AE_THRESHOLD = 617.201810836792  # published reconstruction threshold
 AE_LAYERS = [48, 24, 12, 24, 48]  # hidden widths; input/output width = #features
 AE_LEARNING_RATE = 1e-3
 AE_BATCH_SIZE = 1024

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark import config
+from flowspark.session import table_exists
 
 ADAM_B1, ADAM_B2, ADAM_EPS = 0.9, 0.999, 1e-8
 
@@ -352,12 +353,12 @@ def save(spark: SparkSession, model: AEModel, path: str) -> None:
 
 
 def load(spark: SparkSession, path: str) -> AEModel | None:
-    """The autoencoder is optional; None when either table is absent."""
-    try:
-        layers = sorted(spark.read.parquet(f"{path}/layers").collect(), key=lambda r: r["layer"])
-        thr = spark.read.parquet(f"{path}/threshold").first()["threshold"]
-    except Exception:  # noqa: BLE001 - absent model => scoring without anomaly flags
+    """The autoencoder is optional; None when either table is absent.  A
+    table that is there but cannot be read is an error."""
+    if not all(table_exists(spark, f"{path}/{part}") for part in ("layers", "threshold")):
         return None
+    layers = sorted(spark.read.parquet(f"{path}/layers").collect(), key=lambda r: r["layer"])
+    thr = spark.read.parquet(f"{path}/threshold").first()["threshold"]
     widths = [layers[0]["n_in"]] + [r["n_out"] for r in layers]
     flat = np.concatenate([np.concatenate([np.asarray(r["weight"], np.float64),
                                            np.asarray(r["bias"], np.float64)]) for r in layers])

@@ -3,8 +3,8 @@
 Shape of every report: one grouped aggregate over the scored rows (map-side
 partial aggregation, output bounded by the number of classes or of distinct
 scores), then arithmetic on that small table.  No report gathers raw rows
-into one task; the only unpartitioned windows run over per-class or
-per-distinct-score tables.
+into one task; the only unpartitioned windows run over per-class tables and
+block totals.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark import config
+from flowspark.operators.prefix import prefix_sums
 from flowspark.operators.route import binary_label
 
 EPS_LOGLOSS = 1e-15
-MAX_CLASSES = 1000   # class lists read to the driver (pivot values) are capped
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -100,23 +100,17 @@ def confusion_multiclass(scored: DataFrame, actual: str = "Actual",
     """A10: labels = sorted distinct actual attack classes; predictions
     outside them are dropped (scikit's ``labels=``); zeros kept.
 
-    Grouped counts are pivoted on the (bounded, driver-read) label list, so
-    the zero cells come from the pivot, not from a cross product."""
-    atk = scored.where(F.col(actual).isNotNull() & (F.col(actual) != config.BENIGN))
-    labels = [r[0] for r in atk.select(actual).distinct().orderBy(actual)
-              .limit(MAX_CLASSES + 1).collect()]
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: not a class label")
-    if not labels:
-        return atk.select(F.col(actual).alias("actual"), F.col(pred).alias("predicted"),
-                          F.lit(0).cast("long").alias("count")).limit(0)
-    wide = atk.where(F.col(pred).isin(*labels)).groupBy(F.col(actual).alias("actual")) \
-        .pivot(pred, labels).agg(F.count(F.lit(1)))
-    present = atk.select(F.col(actual).alias("actual")).distinct()
-    wide = present.join(wide, "actual", "left").fillna(0)
-    long = wide.unpivot("actual", [F.col(f"`{l}`").alias(l) for l in labels],
-                        "predicted", "count")
-    return long.select("actual", "predicted", F.col("count").cast("long").alias("count"))
+    One scan: grouped counts become one row a class, with its counts by
+    prediction, and each row is laid out over the list of classes.  Nothing
+    is larger than the matrix, whatever the number of classes."""
+    a, p = F.col(actual), F.col(pred)
+    cells = scored.where(a.isNotNull() & (a != config.BENIGN)).groupBy(a.alias("actual"), p.alias("p")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    row = F.map_from_entries(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("p", "n"))))
+    rows = cells.groupBy("actual").agg(row.alias("counts")) \
+        .withColumn("labels", F.collect_list("actual").over(Window.partitionBy(F.lit(1))))
+    return rows.select("actual", "counts", F.explode("labels").alias("predicted")).select(
+        "actual", "predicted", F.coalesce(F.try_element_at("counts", F.col("predicted")), F.lit(0)).cast("long").alias("count"))
 
 
 def per_class_counts(scored: DataFrame, actual: str, pred: str) -> DataFrame:
@@ -195,34 +189,25 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select(k, "*").join(b.select(k, "*"), "_one").drop("_one")
 
 
-def roc_points(df: DataFrame, y: Column, score: Column, decimals: int | None = 6) -> DataFrame:
+def roc_points(df: DataFrame, y: Column, score: Column) -> DataFrame:
     """Cumulative TP/FP per distinct score, descending.
 
-    Scores are grouped first (map-side combine), so the running sums run
-    over distinct scores only; rounding to ``decimals`` bounds that number
-    (1e6 + 1 for probabilities at 6 dp; 4-dp confidences are unaffected)."""
-    s = F.round(score, decimals) if decimals is not None else score
-    g = df.groupBy(s.alias("threshold")).agg(
+    Scores are grouped first (map-side combine) and summed over ranges of
+    scores, block by block, so no task sees all of them."""
+    g = df.groupBy(score.alias("threshold")).agg(
         F.sum(y.cast("long")).alias("pos"), F.sum((1 - y).cast("long")).alias("neg"))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    wa = Window.partitionBy(F.lit(1))
-    return g.select(
-        "threshold",
-        F.sum("pos").over(w).alias("tps"), F.sum("neg").over(w).alias("fps"),
-        F.sum("pos").over(wa).alias("P"), F.sum("neg").over(wa).alias("N"))
+    return prefix_sums(g, ["threshold"], {"tps": "pos", "fps": "neg"}, descending=True) \
+        .withColumnsRenamed({"tps_total": "P", "fps_total": "N"})
 
 
-def roc_curve(df: DataFrame, y: Column, score: Column, decimals: int | None = 6,
-              drop_intermediate: bool = True) -> DataFrame:
+def roc_curve(df: DataFrame, y: Column, score: Column, drop_intermediate: bool = True) -> DataFrame:
     """``threshold, fpr, tpr`` with the (0, 0) start point at +inf and
     collinear intermediate points dropped (scikit's default)."""
-    pts = roc_points(df, y, score, decimals)
-    w = Window.orderBy(F.desc("threshold"))
+    pts = roc_points(df, y, score)
     if drop_intermediate:
-        d2 = lambda c: F.lag(c).over(w) - 2 * F.col(c) + F.lead(c).over(w)
-        keep = (F.lag("tps").over(w).isNull() | F.lead("tps").over(w).isNull()
-                | (d2("tps") != 0) | (d2("fps") != 0))
-        pts = pts.select("*", keep.alias("_keep")).where(F.col("_keep")).drop("_keep")
+        first = (F.col("tps") == F.col("pos")) & (F.col("fps") == F.col("neg"))
+        pts = pts.where(first | F.col("tps_next").isNull() | (F.col("tps_next") != F.col("pos"))
+                        | (F.col("fps_next") != F.col("neg")))
     curve = pts.select("threshold", F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
                        F.try_divide(F.col("tps"), F.col("P")).alias("tpr"))
     start = pts.agg(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
@@ -230,12 +215,13 @@ def roc_curve(df: DataFrame, y: Column, score: Column, decimals: int | None = 6,
     return start.unionByName(curve)
 
 
-def roc_auc(df: DataFrame, y: Column, score: Column, decimals: int | None = 6) -> DataFrame:
-    """Trapezoidal area under the ROC curve."""
-    c = roc_curve(df, y, score, decimals, drop_intermediate=False)
-    w = Window.orderBy(F.desc("threshold"))
-    seg = (F.col("fpr") - F.lag("fpr").over(w)) * (F.col("tpr") + F.lag("tpr").over(w)) / 2
-    return c.select(seg.alias("seg")).agg(F.sum("seg").alias("auc"))
+def roc_auc(df: DataFrame, y: Column, score: Column) -> DataFrame:
+    """Trapezoidal area under the ROC curve: a step of ``neg`` false
+    positives at the mean of the true positives before and after it."""
+    p = roc_points(df, y, score)
+    height = F.col("tps").cast("double") - F.col("pos") / F.lit(2.0)
+    return p.agg(F.sum(F.try_divide(F.col("neg").cast("double"), F.col("N"))
+                       * F.try_divide(height, F.col("P"))).alias("auc"))
 
 
 def class_accuracy(scored: DataFrame, actual: str = "Actual",

@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark import config
+from flowspark.session import write_table
 
 _PREFIX_BITS = 32
+MAX_BROADCAST_CLASSES = 100_000     # one short row each
 
 
 def sample_key(id_col: str | Column, seed: int = config.SEED) -> Column:
@@ -103,3 +105,41 @@ def split_stratified(df: DataFrame, label_col: str, fraction: float = config.VAL
         rank.alias("split_rank"),
         (rank <= n_val).alias("is_val"),
     )
+
+
+CUT_BUCKETS = 1 << 16
+
+
+def cut_keys(df: DataFrame, label_col: str, fraction: float = config.VALIDATION_FRACTION,
+             id_col: str = "flow_id", seed: int = config.SEED) -> DataFrame:
+    """``label, cut``: per class, the key of its ``round(fraction * size)``-th
+    row in key order; null if that is none.
+
+    Keys are counted by class and prefix; only the rows of the prefix that
+    holds a class's cut are ranked.  Nothing but label and key is shuffled."""
+    keyed = df.select(F.col(label_col).alias("label"), sample_key(id_col, seed).alias("key")) \
+        .withColumn("bucket", F.shiftright(key_prefix(F.col("key")), _PREFIX_BITS - 16))
+    w = Window.partitionBy("label")
+    cells = keyed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "bucket", "n", F.sum("n").over(w.orderBy("bucket")).alias("upto"),
+        F.floor(F.sum("n").over(w) * F.lit(fraction) + F.lit(0.5)).alias("n_val"))
+    # one prefix a class
+    at = cells.where((F.col("n_val") <= F.col("upto")) & (F.col("n_val") > F.col("upto") - F.col("n"))) \
+        .select(F.col("label").alias("_l"), F.col("bucket").alias("_b"), (F.col("n_val") - F.col("upto") + F.col("n")).alias("place"))
+    near = keyed.join(at, F.col("label").eqNullSafe(F.col("_l")) & (F.col("bucket") == F.col("_b")))
+    ranked = near.withColumn("r", F.row_number().over(w.orderBy("key")))
+    return ranked.where(F.col("r") == F.col("place")).select("label", F.col("key").alias("cut"))
+
+
+def split_by_cut(df: DataFrame, label_col: str, fraction: float = config.VALIDATION_FRACTION,
+                 id_col: str = "flow_id", seed: int = config.SEED, out: str = "is_val") -> DataFrame:
+    """X3 as a projection: ``out`` is true for the rows up to their class's cut
+    key, the same rows as :func:`split_stratified` picks.  The rows themselves
+    are never shuffled: cuts are one row a class.  Rows with one id fall on
+    one side."""
+    cuts = write_table(df.sparkSession, cut_keys(df, label_col, fraction, id_col, seed), "cuts")
+    if cuts.count() <= MAX_BROADCAST_CLASSES:
+        cuts = F.broadcast(cuts)
+    return df.join(cuts, df[label_col].eqNullSafe(cuts["label"]), "left").select(
+        *[df[c] for c in df.columns],
+        F.coalesce(sample_key(df[id_col], seed) <= F.col("cut"), F.lit(False)).alias(out))

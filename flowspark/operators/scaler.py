@@ -1,10 +1,9 @@
 """Robust scaler: fit (A3), summary (A4), apply.
 
-Fit: exact linear-interpolated quartiles of every feature in ONE aggregate
-(``percentile`` = DuckDB ``quantile_cont``) over an exact-n repeatable
-sample (X1), as the scaler is fitted on at most ``SCALER_SAMPLE_ROWS`` rows.
-The exact percentile buffers its input, so the sample bound is what keeps
-it bounded; above the bound ``percentile_approx`` is used instead.
+Fit: exact linear-interpolated quartiles (= DuckDB ``quantile_cont``) of
+every feature over all rows, by sketch brackets and distributed selection
+(:mod:`flowspark.operators.quantiles`): no sample, and no task that holds a
+column.
 
 Apply: ``(x - median) / IQR`` with IQR 0 -> 1 (scikit's rule, not
 ``pyspark.ml.feature.RobustScaler``, which maps such columns to 0).  The
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 
 from flowspark import config
 from flowspark.functions.cleaning import fcol
-from flowspark.operators.sampling import sample_exact
+from flowspark.operators.quantiles import exact_quantiles
 
 SCALER_SCHEMA = T.StructType([
     T.StructField("idx", T.IntegerType(), False),
@@ -35,36 +34,27 @@ SCALER_SCHEMA = T.StructType([
 
 
 def fit_scaler(prepared: DataFrame, order: Sequence[str] = config.FEATURE_ORDER,
-               max_rows: int | None = config.SCALER_SAMPLE_ROWS,
-               id_col: str = "flow_id", exact: bool = True,
                absent: Iterable[str] = ()) -> DataFrame:
-    """Long table ``idx, feature, q1, center, q3, scale``.
+    """Long table ``idx, feature, q1, center, q3, scale``; quartiles and scale
+    are null if there are no rows.
 
+    ``prepared`` is read three times: pass a written table if it is costly.
     ``absent``: features missing from the raw input.  Preparation fills them
-    with 0, so their quartiles are exactly 0 and they get no percentile
-    buffer (on the flow fixture: 17 buffers instead of 78)."""
+    with 0, so their quartiles are exactly 0 and need no pass (on the flow
+    fixture: 17 measured columns instead of 78)."""
     absent = set(absent)
     measured = [n for n in order if n not in absent]
-    data = prepared
-    if max_rows is not None and id_col in prepared.columns:
-        data = sample_exact(prepared.select(id_col, *[fcol(n) for n in measured]), max_rows, id_col)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    pct = F.percentile if exact else F.percentile_approx
-    zeros = F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-    has_rows = F.count(F.lit(1)) > 0
-    wide = data.agg(*[(pct(fcol(n).cast("double"), probs) if n not in absent
-                       else F.when(has_rows, zeros)).alias(f"q{i}")
-                      for i, n in enumerate(order)])
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("idx"), F.lit(n).alias("feature"), F.col(f"q{i}").alias("q"))
-        for i, n in enumerate(order)]))
-    long = wide.select(rows.alias("r")).select("r.idx", "r.feature", "r.q")
-    iqr = F.col("q")[2] - F.col("q")[0]
-    return long.select(
-        F.col("idx").cast("int").alias("idx"), "feature",
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("center"), F.col("q")[2].alias("q3"),
-        F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"),
-    )
+    if measured:
+        found = exact_quantiles(prepared, measured)
+        empty = found[measured[0]][0] is None
+    else:
+        found, empty = {}, prepared.isEmpty()
+    rows = []
+    for i, n in enumerate(order):
+        q1, center, q3 = found.get(n, [None if empty else 0.0] * 3)
+        scale = None if q1 is None else (q3 - q1) or 1.0
+        rows.append((i, n, q1, center, q3, scale))
+    return prepared.sparkSession.createDataFrame(rows, SCALER_SCHEMA)
 
 
 def scaler_summary(scaler: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ def json_records(spark, sf):
           f"round(q3, {R9}) AS q3, round(scale, {R9}) AS scale FROM scaler")
 def scaler_fit(spark, sf):
     """A3: per-feature quartiles on the (<= 100k rows) sample."""
-    s = sc.fit_scaler(fx.prepared_flows(spark, sf), absent=fx.ABSENT)
+    s = sc.fit_scaler(fx.prepared_table(spark, sf), absent=fx.ABSENT)
     return _round_cols(s, {"q1", "center", "q3", "scale"})
 
 
@@ -131,7 +131,7 @@ def scaler_fit(spark, sf):
           f"round(min(scale), {R9}) AS scale_min, round(max(scale), {R9}) AS scale_max FROM scaler")
 def scaler_summary(spark, sf):
     """A4: min / max of centers and scales."""
-    out = sc.scaler_summary(sc.fit_scaler(fx.prepared_flows(spark, sf), absent=fx.ABSENT))
+    out = sc.scaler_summary(sc.fit_scaler(fx.prepared_table(spark, sf), absent=fx.ABSENT))
     return _round_cols(out, set(out.columns))
 
 
@@ -211,6 +211,14 @@ def split_stratified(spark, sf):
     return out.select("flow_id", "Label", "is_val")
 
 
+@register("split_by_cut", _w(S.FLOWS_SQL.strip()) +
+          f"""SELECT flow_id, "Label", row_number() OVER (PARTITION BY "Label" ORDER BY {S.md5_key()})
+  <= floor(count(*) OVER (PARTITION BY "Label") * {config.VALIDATION_FRACTION} + 0.5) AS is_val FROM flows""")
+def split_by_cut(spark, sf):
+    """The stratified split of whole rows by their class's cut key."""
+    return smp.split_by_cut(fx.flow_table(spark, sf), "Label").select("flow_id", "Label", "is_val")
+
+
 @register("split_counts", _w(S.FLOWS_SQL.strip()) +
           f"""SELECT "Label" AS label, rn <= floor(cnt * CAST({config.VALIDATION_FRACTION} AS DOUBLE) + 0.5) AS is_val,
        count(*) AS n
@@ -422,9 +430,9 @@ def accuracy_f1(spark, sf):
     return _round_cols(out, set(out.columns))
 
 
-def _roc_sql(score: str, decimals: int = 6) -> str:
+def _roc_sql(score: str) -> str:
     return SCORED.rstrip() + f""",
-g AS (SELECT round({score}, {decimals}) AS threshold,
+g AS (SELECT {score} AS threshold,
         CAST(sum(CASE WHEN "Actual" <> 'BENIGN' THEN 1 ELSE 0 END) AS BIGINT) AS pos,
         CAST(sum(CASE WHEN "Actual" = 'BENIGN' THEN 1 ELSE 0 END) AS BIGINT) AS neg
       FROM scored WHERE "Actual" IS NOT NULL GROUP BY 1),

@@ -77,6 +77,15 @@ def prepared_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.prepare(flow_table(spark, sf_dir))
 
 
+def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared flows, written once per session and dataset: the scaler's
+    passes and its application read this table."""
+    key = _key(spark, sf_dir, "prepared")
+    if key not in _TABLES:
+        _TABLES[key] = write_table(spark, prepared_flows(spark, sf_dir), "prepared")
+    return _TABLES[key]
+
+
 def absent_features(df: DataFrame) -> list[str]:
     """Model features the raw table does not carry (filled with 0)."""
     return [n for n in config.FEATURE_ORDER if n not in set(df.columns)]
@@ -87,10 +96,10 @@ ABSENT = [n for n in config.FEATURE_ORDER if n not in set(FLOW_FEATURES.values()
 
 def scaled_flows(spark: SparkSession, sf_dir: str) -> Scaled:
     """Scaled flows, materialised once per session and dataset as a parquet
-    table (the scaler is fitted once, on its bounded sample)."""
+    table (the scaler is fitted once, on all rows)."""
     key = _key(spark, sf_dir, "scaled")
     if key not in _TABLES:
-        p = prepared_flows(spark, sf_dir)
+        p = prepared_table(spark, sf_dir)
         params = sc.scaler_params(sc.fit_scaler(p, absent=ABSENT))
         _TABLES[key] = Scaled(write_table(spark, sc.apply_scaler(p, params), "scaled"), params,
                               sc.scaler_from_params(spark, params))

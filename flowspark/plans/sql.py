@@ -1,7 +1,7 @@
 """DuckDB oracle SQL: the same results written independently as plain SQL.
 
 The CTE chain mirrors the scoring contract: ``flows`` -> ``prep`` (cleaned
-float32 features) -> ``samp`` (md5-ordered sample) -> ``scaler`` (quartiles)
+float32 features) -> ``scaler`` (quartiles of all rows)
 -> ``scaled`` -> ``rec`` (fixture reconstruction error) -> ``scored``.
 """
 
@@ -54,14 +54,11 @@ def feature_list(exprs) -> str:
 PREP = "prep AS (SELECT flow_id, \"Label\",\n  " + feature_list(
     (n, prep_expr(n)) for n in FEATS) + "\n FROM flows)"
 
-SAMP = (f"samp AS (SELECT * FROM prep ORDER BY {md5_key()} "
-        f"LIMIT {config.SCALER_SAMPLE_ROWS})")
-
 FEATURE_INDEX = "fi AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, {s(n)})" for i, n in enumerate(FEATS)) + ") t(idx, feature))"
 
 SCALER = f"""{FEATURE_INDEX},
-ul AS (UNPIVOT samp ON {", ".join(q(n) for n in FEATS)} INTO NAME feature VALUE v),
+ul AS (UNPIVOT prep ON {", ".join(q(n) for n in FEATS)} INTO NAME feature VALUE v),
 scq AS (SELECT fi.idx, ul.feature,
    quantile_cont(CAST(v AS DOUBLE), 0.25) AS q1,
    quantile_cont(CAST(v AS DOUBLE), 0.5) AS center,
@@ -124,7 +121,7 @@ def with_chain(*ctes: str) -> str:
 
 
 CHAIN_PREP = [FLOWS_SQL.strip(), PREP]
-CHAIN_SCALER = CHAIN_PREP + [SAMP, SCALER]
+CHAIN_SCALER = CHAIN_PREP + [SCALER]
 CHAIN_SCALED = CHAIN_SCALER + [SCALED]
 CHAIN_REC = CHAIN_SCALED + [REC, THR]
 

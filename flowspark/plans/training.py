@@ -6,8 +6,9 @@ parquet table in the shared folder; every learner reads it from there (its
 label filters pushed into the scan), so the raw tables are scanned a single
 time per training run.
 
-Sample bounds follow the reference contract: the scaler and the autoencoder
-see at most 100k rows each (repeatable md5 samples, X1); the explanation
+The scaler is fitted on all rows.  The autoencoder's weights are fitted on at
+most ``AE_SAMPLE_ROWS`` benign rows (a repeatable md5 sample, X1), its
+threshold on all benign rows of the validation split; the explanation
 background is 200 rows (X2).
 """
 
@@ -26,7 +27,7 @@ from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.operators import sampling as smp
 from flowspark.operators import scaler as sc
-from flowspark.session import shared_dir, write_table
+from flowspark.session import write_table
 
 # The contract's training parameters (200 boosting rounds, early stopping of
 # the binary model): the default, and those of the registered queries.
@@ -46,10 +47,9 @@ class Bundle:
 
 def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.LABEL_NAME
                    ) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
-    """Prepare, fit the scaler on its bounded sample, scale, pack, split;
-    the result is checkpointed (lineage cut in the shared folder)."""
-    shared_dir(spark)
-    prepared = prep.prepare(raw, keep=("flow_id", label_col)).checkpoint()
+    """Prepare, fit the scaler, scale, pack, split; the prepared flows are
+    written once, for the scaler's passes and its application."""
+    prepared = write_table(spark, prep.prepare(raw, keep=("flow_id", label_col)), "prepared")
     absent = [n for n in config.FEATURE_ORDER if n not in set(raw.columns)]
     params = sc.scaler_params(sc.fit_scaler(prepared, absent=absent))
     return split_table(prep.pack(sc.apply_scaler(prepared, params)), label_col), params
@@ -60,10 +60,8 @@ def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) ->
     ``is_val_bin`` stratified by the binary target (binary model) and
     ``is_val`` stratified by class (attack model: its attack rows)."""
     labelled = scaled_packed.where(F.col(label_col).isNotNull())   # Q8: null label = unlabelled
-    by_bin = smp.split_stratified(labelled.withColumn("_bin", rt.binary_label(F.col(label_col))),
-                                  "_bin").drop("split_rank", "_bin") \
-        .withColumnRenamed("is_val", "is_val_bin")
-    split = smp.split_stratified(by_bin, label_col).drop("split_rank")
+    binned = labelled.withColumn("_bin", rt.binary_label(F.col(label_col)))
+    split = smp.split_by_cut(smp.split_by_cut(binned, "_bin", out="is_val_bin"), label_col).drop("_bin")
     # a parquet table: the learners' label filters (benign rows, attack rows)
     # are pushed into its scan
     return write_table(scaled_packed.sparkSession, split, "training")
@@ -71,15 +69,13 @@ def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) ->
 
 def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = config.LABEL_NAME,
                       epochs: int = config.AE_MAX_EPOCHS) -> ae.AEModel:
-    """M7/M9 on BENIGN training rows (F2), <= 100k sampled (X1), 80/20."""
+    """M7/M9: weights on a bounded sample of BENIGN rows (F2, X1), 80/20 (X4);
+    threshold on all BENIGN rows of the validation split."""
     benign = data.where(F.col(label_col) == config.BENIGN).select("flow_id", "features")
-    benign = smp.sample_exact(benign, config.AE_SAMPLE_ROWS)
-    split = smp.split_random(benign)
+    split = smp.split_random(smp.sample_exact(benign, config.AE_SAMPLE_ROWS))
     tr, va = split.where(~F.col("is_val")), split.where(F.col("is_val"))
-    n = tr.count()
-    shards = max(1, min(spark.sparkContext.defaultParallelism, n // (config.AE_BATCH_SIZE * 8)))
-    model = ae.train(spark, tr, va, len(config.FEATURE_ORDER), epochs=epochs, shards=shards)
-    ae.fit_threshold(spark, model, va)
+    model = ae.train(spark, tr, va, len(config.FEATURE_ORDER), epochs=epochs, shards=config.AE_SHARDS)
+    ae.fit_threshold(spark, model, smp.split_random(benign).where(F.col("is_val")))
     return model
 
 

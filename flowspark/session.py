@@ -73,3 +73,9 @@ def write_table(spark: SparkSession, df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, by the file system of its path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
