@@ -51,6 +51,7 @@ AE_SHARDS = 4                    # shards of its local training
 BACKGROUND_ROWS = 200            # explanation background sample size
 SMOKE_SAMPLE_ROWS = 20           # smoke-run sample size
 VALIDATION_FRACTION = 0.2        # 80/20 splits
+CALIBRATION_FRACTION = 0.1       # of the binary model's training rows, for its probabilities
 TOP_FEATURES = 15                # explanation rows per flow
 PREVIEW_ROWS = 50                # dataset preview
 LOG_TAIL_ROWS = 100              # monitor log tail

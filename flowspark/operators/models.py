@@ -2,7 +2,8 @@
 (M1-M6, M10, M11).
 
 * Binary (M1/M2/M4): ``GBTClassifier`` on the packed, scaled feature vector;
-  ``p_attack = probability[1]``.  Early stopping follows the 10-round rule
+  ``p_attack`` is the margin's probability under an isotonic link fitted on
+  rows held out of training (``probability[1]`` without one).  Early stopping follows the 10-round rule
   on the validation log loss: ``evaluateEachIteration`` gives the loss per
   round (one distributed pass), the best round is found on the driver (a
   list of <= max_iter numbers), and the model is refitted with that many
@@ -26,6 +27,7 @@ from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, On
                                        OneVsRestModel)
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,8 +98,30 @@ def p_attack_col(prob_col: str = "probability") -> Column:
     return vector_to_array(F.col(prob_col))[1]
 
 
-def score_binary(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
-    out = model.transform(df).withColumn("p_attack", p_attack_col())
+def fit_link(model: GBTClassificationModel, calibration: DataFrame, label: str = "y") -> IsotonicRegressionModel | None:
+    """M4: probability by margin, fitted on rows that the model was not
+    trained on.  A boosted model's own sigmoid stops short of 0 and 1 after
+    few, small steps, so a route threshold of 0.01 would never be met.
+
+    Margins are binned to 0.01 first: a model's margins are bounded by its
+    tree weights, so the pooling of adjacent violators sees some thousand bins
+    with their weights, however many rows there are.  None without rows of
+    both classes."""
+    margin = F.round(vector_to_array(F.col("rawPrediction"))[1], 2)
+    bins = model.transform(calibration).groupBy(margin.alias("margin")).agg(
+        F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias("weight"))
+    span = bins.agg(F.min(label).alias("lo"), F.max(label).alias("hi")).first()
+    if span["lo"] is None or span["hi"] == 0 or span["lo"] == 1:
+        return None
+    return IsotonicRegression(featuresCol="margin", labelCol=label, weightCol="weight", predictionCol="p_attack").fit(bins)
+
+
+def score_binary(model: GBTClassificationModel, df: DataFrame, link: IsotonicRegressionModel | None = None) -> DataFrame:
+    out = model.transform(df)
+    if link is None:
+        out = out.withColumn("p_attack", p_attack_col())
+    else:
+        out = link.transform(out.withColumn("margin", vector_to_array(F.col("rawPrediction"))[1])).drop("margin")
     return out.drop("rawPrediction", "probability", "prediction")
 
 
@@ -132,10 +156,11 @@ def score_attack(model: AttackModel, df: DataFrame) -> DataFrame:
 def score_two_stage(spark: SparkSession, df: DataFrame, binary: GBTClassificationModel,
                     attack: AttackModel, auto: ae.AEModel | None = None,
                     threshold: float = config.ATTACK_THRESHOLD, inclusive: bool = False,
-                    keep: tuple[str, ...] = ("flow_id",)) -> DataFrame:
+                    keep: tuple[str, ...] = ("flow_id",),
+                    link: IsotonicRegressionModel | None = None) -> DataFrame:
     """``flow_id, [Actual,] Final_Prediction, Binary_Route, Confidence,
     Anomaly, p_attack, probs, mse`` for every input row."""
-    s1 = score_binary(binary, with_vector(df))
+    s1 = score_binary(binary, with_vector(df), link)
     is_atk = ~rt.is_benign(F.col("p_attack"), threshold, inclusive)
     benign = s1.where(~is_atk).withColumn("probs", F.lit(None).cast("array<double>")) \
         .withColumn("mse", F.lit(None).cast("double"))

@@ -33,7 +33,7 @@ def gbt_binary(spark, sf):
     """M1/M2/M4: binary model on the 80 % split (stratified by the binary
     target), p_attack of the 20 % hold-out."""
     b = tr.bundle_for(spark, sf)
-    s = md.score_binary(b.binary, md.with_vector(_val(b, binary=True)))
+    s = md.score_binary(b.binary, md.with_vector(_val(b, binary=True)), b.link)
     return s.select("flow_id", rt.binary_target(F.col(config.LABEL_NAME)).alias("y"), "p_attack")
 
 
@@ -98,7 +98,7 @@ def ae_recon_top_features(spark, sf):
 def holdout_report(spark, sf):
     """Hold-out classification reports (binary at p > 0.5, attack type)."""
     b = tr.bundle_for(spark, sf)
-    s1 = md.score_binary(b.binary, md.with_vector(_val(b, binary=True))).select(
+    s1 = md.score_binary(b.binary, md.with_vector(_val(b, binary=True)), b.link).select(
         rt.binary_label(F.col(config.LABEL_NAME)).alias("ya"),
         F.when(rt.train_decision(F.col("p_attack")) == 1, F.lit(config.ATTACK))
         .otherwise(F.lit(config.BENIGN)).alias("yp"))
@@ -134,7 +134,7 @@ def retrain(spark, sf):
     path = scratch_path(spark, "bundle")
     save_bundle(spark, b, path)
     loaded = load_bundle(spark, path)
-    s = md.score_two_stage(spark, b.data, loaded.binary, loaded.attack, loaded.auto)
+    s = md.score_two_stage(spark, b.data, loaded.binary, loaded.attack, loaded.auto, link=loaded.link)
     return m.summary_percent(s)
 
 
@@ -161,7 +161,7 @@ def shap_attack(spark, sf):
               for k, mk in enumerate(b.attack.ovr.models)}
     # only the route and class are needed: no autoencoder pass
     scored = md.score_two_stage(spark, b.data, b.binary, b.attack, None,
-                                keep=("flow_id", "features"))
+                                keep=("flow_id", "features"), link=b.link)
     classes = F.array(*[F.lit(c) for c in b.attack.classes])
     cls = (F.array_position(classes, F.col("Final_Prediction")) - 1).cast("int")
     rows = scored.where(F.col("Binary_Route") == config.ATTACK) \

@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ class Bundle:
     attack: md.AttackModel
     auto: ae.AEModel | None
     extras: dict = field(default_factory=dict)
+    link: IsotonicRegressionModel | None = None     # probability by margin of the binary model
 
 
 def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.LABEL_NAME
@@ -95,15 +97,19 @@ def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple
     auto = train_autoencoder(spark, data, label_col) if with_autoencoder else None
     t1 = time.time()
     vec = md.with_vector(data).withColumn("y", rt.binary_target(F.col(label_col)).cast("double"))
-    binary, losses = md.fit_binary(vec.where(~F.col("is_val_bin")), vec.where(F.col("is_val_bin")),
-                                   gbt)
+    # the link's rows are neither trained on nor reported on; a seed of their
+    # own makes them independent of the split
+    apart = smp.key_uniform(smp.sample_key("flow_id", config.SEED + 1)) < config.CALIBRATION_FRACTION
+    fitted, held = vec.where(~F.col("is_val_bin")), vec.where(F.col("is_val_bin"))
+    binary, losses = md.fit_binary(fitted.where(~apart), held, gbt)
+    link = md.fit_link(binary, fitted.where(apart))
     t2 = time.time()
     attacks = vec.where(F.col(label_col) != config.BENIGN)
     attack = md.fit_attack(attacks.where(~F.col("is_val")), gbt, label_col)
     t3 = time.time()
     seconds = {"autoencoder": round(t1 - t0, 3), "binary": round(t2 - t1, 3),
                "attack": round(t3 - t2, 3)}
-    return Bundle(data, params, binary, losses, attack, auto, {"seconds": seconds})
+    return Bundle(data, params, binary, losses, attack, auto, {"seconds": seconds}, link)
 
 
 _CACHE: dict[tuple, Bundle] = {}
@@ -124,7 +130,7 @@ def score(spark: SparkSession, b: Bundle, df: DataFrame | None = None,
     """Two-stage scoring of the prepared rows (default: every labelled flow)."""
     d = b.data if df is None else df
     return md.score_two_stage(spark, d, b.binary, b.attack, b.auto, inclusive=inclusive,
-                              keep=("flow_id",))
+                              keep=("flow_id",), link=b.link)
 
 
 def prepare_for_scoring(raw: DataFrame, params: dict[str, tuple[float, float]],

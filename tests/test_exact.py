@@ -100,3 +100,22 @@ def test_a_damaged_autoencoder_is_an_error(spark, tmp_shared):
     spark.range(1).write.parquet(f"{tmp_shared}/auto/threshold")
     with pytest.raises(Exception):
         ae.load(spark, f"{tmp_shared}/auto")
+
+
+def test_both_routes_on_separable_data(spark, tmp_shared):
+    """Benign flows get a probability below the contract's threshold, attacks
+    above it; the link survives saving."""
+    from pyspark.ml.regression import IsotonicRegressionModel
+
+    from flowspark.operators import models as md
+    rows = [(k, [float(k % 10 + 90 * (k % 100 >= 70)), float(k * 7 % 13)], float(k % 100 >= 70)) for k in range(3000)]
+    df = md.with_vector(spark.createDataFrame(rows, "flow_id long, features array<float>, y double"))
+    model, _ = md.fit_binary(df.where("flow_id % 10 > 0"), None, md.GbtParams(max_iter=3, max_depth=2))
+    held = df.where("flow_id % 10 = 0")
+    assert md.score_binary(model, held).where("p_attack < 0.01").isEmpty()      # the model's own sigmoid
+    link = md.fit_link(model, held)
+    link.write().overwrite().save(f"{tmp_shared}/link")
+    for k in (link, IsotonicRegressionModel.load(f"{tmp_shared}/link")):
+        out = md.score_binary(model, df, k)
+        assert out.where("(p_attack < 0.01) <> (y = 0)").isEmpty() and out.where("p_attack < 0 OR p_attack > 1").isEmpty()
+    assert md.fit_link(model, held.where("y = 0")) is None and md.fit_link(model, held.limit(0)) is None

@@ -95,7 +95,7 @@ def test_shap_additivity_on_trained_model(spark, bundle):
 
 
 def test_probabilities(spark, bundle):
-    s = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto)
+    s = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto, link=bundle.link)
     assert s.count() == bundle.data.count()
     bad_p = s.where((F.col("p_attack") < 0) | (F.col("p_attack") > 1)).count()
     sums = s.where(F.col("probs").isNotNull()).select(
@@ -138,8 +138,8 @@ def test_bundle_round_trip(spark, bundle, tmp_shared):
     from flowspark.sources.bundle import load_bundle, save_bundle
     save_bundle(spark, bundle, tmp_shared)
     loaded = load_bundle(spark, tmp_shared)
-    a = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto)
-    b = md.score_two_stage(spark, bundle.data, loaded.binary, loaded.attack, loaded.auto)
+    a = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto, link=bundle.link)
+    b = md.score_two_stage(spark, bundle.data, loaded.binary, loaded.attack, loaded.auto, link=loaded.link)
     cols = ["flow_id", "Final_Prediction", "Binary_Route", "Confidence", "Anomaly"]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert loaded.params == bundle.params
@@ -150,18 +150,18 @@ def test_stream_equals_batch(spark, bundle):
     import __spark_entry__ as E
     from conftest import SF_SMALL
     streamed = E.queries()["stream_model_score"](spark, SF_SMALL)
-    batch = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto) \
+    batch = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto, link=bundle.link) \
         .select(*streamed.columns)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
 def test_scoring_without_autoencoder(spark, bundle):
-    s = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, None)
+    s = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, None, link=bundle.link)
     assert s.where("Anomaly").count() == 0
     assert s.where(F.col("mse").isNotNull()).count() == 0
     single = md.score_two_stage(spark, bundle.data, bundle.binary, bundle.attack, bundle.auto,
-                                inclusive=True)
+                                inclusive=True, link=bundle.link)
     assert single.count() == bundle.data.count()
 
 
