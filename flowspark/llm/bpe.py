@@ -42,7 +42,7 @@ from tokenizers import normalizers
 from flowspark.llm.common import byte_letters, slices, text_or_empty
 
 TOKENIZER = "word_bpe_49k.json"
-WORDS_KEPT = 200_000        # encoded words a worker remembers
+WORDS_KEPT = 500_000        # encoded words a worker remembers
 LONG_WORD = 64              # longer ones are not remembered
 NEVER = 1 << 60             # rank of the merge that a finished token never meets
 END = ""              # the end-of-word mark as one letter; no byte letter is in this range
@@ -55,6 +55,22 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+class Words(dict):
+    """Encodings of the words met so far; a missing one is found and, if it
+    is short, kept."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.encode(word)
+        if len(word) <= LONG_WORD:
+            if len(self) > WORDS_KEPT:
+                self.clear()
+            self[word] = got
+        return got
+
+
 class Vocabulary:
     """Tokens, merges and the automaton of one vocabulary file."""
 
@@ -88,7 +104,8 @@ class Vocabulary:
                 key = self._key(token)
                 self.automaton.add_word(key, (i, len(key)))
         self.automaton.make_automaton()
-        self.known: dict[str, bytes] = {}
+        self.end = END if self.mark else ""
+        self.known = Words(self.encode_word)
 
     def _key(self, token: str) -> str:
         return token[:-len(self.mark)] + END if self.mark and token.endswith(self.mark) else token
@@ -111,16 +128,20 @@ class Vocabulary:
                 right_end, b = rank_b, self.left[b]
 
     def compatible(self, pair: tuple[int, int]) -> bool:
-        if len(self.pairs) > 4 * WORDS_KEPT:
+        if len(self.pairs) > 2 * WORDS_KEPT:
             self.pairs.clear()
         found = self.pairs[pair] = self._compatible(*pair)
         return found
 
     def encode_word(self, word: str) -> bytes:
         """Ids of one word, as little-endian unsigned 32-bit integers."""
-        spelled = "".join(map(self.letters.__getitem__, word.encode("utf-8"))) + (END if self.mark else "")
+        if word.isascii() and word.isprintable():      # such bytes are their own letters
+            spelled = word + self.end
+        else:
+            spelled = "".join(map(self.letters.__getitem__, word.encode("utf-8"))) + self.end
         n = len(spelled)
-        last, size = array("i", [-1]) * (n + 1), array("i", [0]) * (n + 1)
+        # small integers for a long word
+        last, size = ([-1] * (n + 1), [0] * (n + 1)) if n <= LONG_WORD else (array("i", [-1]) * (n + 1), array("i", [0]) * (n + 1))
         tested, compatible = self.pairs, self.compatible
         for end, (token, length) in self.automaton.iter(spelled):
             at = end + 1
@@ -143,16 +164,6 @@ class Vocabulary:
             at -= size[at]
         return struct.pack(f"<{len(ids)}I", *reversed(ids))
 
-    def _word(self, word: str) -> bytes:
-        got = self.known.get(word)
-        if got is None:
-            got = self.encode_word(word)
-            if len(word) <= LONG_WORD:
-                if len(self.known) > WORDS_KEPT:
-                    self.known.clear()
-                self.known[word] = got
-        return got
-
     def _plain(self, text: str) -> Iterator[bytes]:
         for part in slices(text, GAP):
             # lower case letter by letter: no final form of sigma
@@ -161,7 +172,7 @@ class Vocabulary:
             part = part.lower()
             words = (m.group() for m in self.split.finditer(part)) if len(part) > 1 << 22 else iter(self.split.findall(part))
             while some := list(islice(words, 200_000)):
-                yield b"".join(map(self._word, some))
+                yield b"".join(map(self.known.__getitem__, some))
 
     def encode(self, text: str) -> Iterator[bytes]:
         """Ids of a text, slice by slice."""
