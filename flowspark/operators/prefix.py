@@ -47,3 +47,10 @@ def prefix_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, str], de
         *df.columns, *[(F.col(f"_carry_{out}") + F.col(f"_in_{out}")).alias(out) for out in sums],
         *[f"{out}_total" for out in sums],
         *[F.coalesce(f"_lead_{out}", f"_after_{out}").alias(f"{out}_next") for out in sums])
+
+
+def positions(df: DataFrame, order: Sequence[str], out: str, blocks: int | None = None) -> DataFrame:
+    """``df`` with the number of rows before each one by ``order``, which must
+    tell all rows apart."""
+    sums = prefix_sums(df.withColumn("_one", F.lit(1).cast("long")), order, {"_upto": "_one"}, blocks=blocks)
+    return sums.select(*df.columns, (F.col("_upto") - 1).alias(out))

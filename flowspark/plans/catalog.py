@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowspark import config
 from flowspark.functions.cleaning import fcol
@@ -24,6 +23,8 @@ from flowspark.operators import sampling as smp
 from flowspark.operators import scaler as sc
 from flowspark.plans import fixtures as fx
 from flowspark.plans import sql as S
+from flowspark.session import scratch_path
+from flowspark.sources import records
 from flowspark.sources.flows import FLOW_FEATURES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,16 +104,12 @@ def clean_features(spark, sf):
 
 @register("json_records", CLEAN_SQL)
 def json_records(spark, sf):
-    """Flows as JSON records ``{feature: value}`` -> ``map<string,double>``
-    -> model input (absent keys are 0)."""
+    """Flows as JSON records ``{"flow_id": .., "features": {..}}``, written
+    and read by the record source (absent keys are 0)."""
     f = fx.flow_table(spark, sf, with_label=False)
-    as_json = f.select("flow_id", F.to_json(F.struct(*[fcol(n) for n in FLOW_FEATURES.values()]))
-                       .alias("value"))
-    parsed = as_json.select("flow_id", F.from_json("value", T.MapType(T.StringType(),
-                                                                      T.DoubleType())).alias("m"))
-    present = set(FLOW_FEATURES.values())
-    rec = parsed.select("flow_id", *[F.col("m")[n].alias(n) for n in FEATS if n in present])
-    return prep.prepare(rec, keep=("flow_id",))
+    path = scratch_path(spark, "records")
+    records.records_from_rows(f, list(FLOW_FEATURES.values()), with_id=True).select("value").write.text(path)
+    return prep.prepare(records.read_records(spark, path), keep=("flow_id",))
 
 
 # ----------------------------------------------------------------- scaler ----
@@ -615,6 +612,20 @@ def batch_attacks(spark, sf):
     return per_batch(fx.stream_rule(fx.events(spark, sf))).select("batch", "n", "attacks")
 
 
+@register("batch_numbers", _w(S.STREAM_RULE) + f"""SELECT batch, count(*) AS n, min(event_id) AS first_event,
+  max(event_id) AS last_event, CAST(count_if("Anomaly") AS BIGINT) AS anomalies
+FROM (SELECT event_id, "Anomaly", (row_number() OVER (ORDER BY event_id) - 1) // {fx.STREAM_BATCH} AS batch
+      FROM ev WHERE "Binary_Route" = 'ATTACK') GROUP BY batch""")
+def batch_numbers(spark, sf):
+    """Attack-routed events alone, whose ids have gaps, in batches by
+    their position in arrival order."""
+    from flowspark.streaming.monitor import with_batch
+    attacks = fx.stream_rule(fx.events(spark, sf)).where(F.col("Binary_Route") == config.ATTACK).drop("batch")
+    return with_batch(attacks, ["event_id"], fx.STREAM_BATCH).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"),
+        F.count_if("Anomaly").alias("anomalies"))
+
+
 @register("running_kpis", _w(S.STREAM_RULE) + """SELECT batch,
   CAST(sum(n) OVER w AS BIGINT) AS total, CAST(sum(attacks) OVER w AS BIGINT) AS attacks,
   CAST(sum(n - attacks) OVER w AS BIGINT) AS benign, CAST(sum(anomalies) OVER w AS BIGINT) AS anomalies

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowspark import config
+from flowspark.operators import explain as ex
 from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.plans import fixtures as fx
@@ -100,3 +101,69 @@ def results_json_sink(spark, sf):
         T.StructField(v, f.dataType) for k, v in rt.RECORD_NAMES.items()
         for f in s.schema.fields if f.name == k])
     return spark.read.schema(schema).json(path)
+
+
+SPLIT_BYTES = 64 * 1024     # of the second read: files are cut into many tasks
+FLOW_NUMBER = 'CAST(row_number() OVER (ORDER BY flow_id) - 1 AS BIGINT)'
+
+
+def _ordered_csv(spark, sf):
+    """Flows as CSV files whose names and rows follow ``flow_id``, kept as
+    the column ``key``."""
+    df, header = _csv_frame(spark, sf)
+    path = scratch_path(spark, "flows-ordered")
+    csvsrc.write_flow_csv(df.repartitionByRange("flow_id").sortWithinPartitions("flow_id"), path,
+                          ["key" if n.strip() == "flow_id" else n for n in header])
+    return csvsrc.list_files(spark, path, ".csv")
+
+
+@register("csv_row_ids", S.with_chain(S.FLOWS_SQL.strip()) +
+          f"SELECT {FLOW_NUMBER} AS row_id, {FLOW_NUMBER} AS row_id_small_splits, flow_id FROM flows")
+def csv_row_ids(spark, sf):
+    """A row's number over all files, read in splits of the session's
+    size and again in small ones."""
+    paths = _ordered_csv(spark, sf)
+
+    def read(name):
+        return csvsrc.read_flow_csvs(spark, paths, row_ids=True).select(
+            F.col("flow_id").alias(name), F.col("key").cast("long").alias("flow_id"))
+
+    whole = read("row_id")
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    try:
+        small = read("row_id_small_splits")      # its scan runs here: rows with numbers are written
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return whole.join(small, "flow_id").select("row_id", "row_id_small_splits", "flow_id")
+
+
+PICKED = (3, 17, 101)
+
+
+@register("csv_pick_flows", S.with_chain(S.FLOWS_SQL.strip()) +
+          f"SELECT row_id AS flow_id, feature, CAST(value AS DOUBLE) AS value FROM ("
+          f"SELECT * FROM (SELECT *, {FLOW_NUMBER} AS row_id FROM flows) WHERE row_id IN {PICKED}) "
+          f"UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(S.q(n) for n in S.RAW_FEATURES)}))")
+def csv_pick_flows(spark, sf):
+    """F8/E5: raw features of flows picked by their row numbers."""
+    rows = csvsrc.read_flow_csvs(spark, _ordered_csv(spark, sf), row_ids=True)
+    return ex.flow_unpivot(rows, S.RAW_FEATURES, PICKED)
+
+
+FIRST_FILES, DEALT_FILES = 2, 3
+
+
+@register("csv_first_files", S.with_chain(S.FLOWS_SQL.strip()) +
+          f"SELECT CAST(flow_id % {DEALT_FILES} AS INT) AS file, count(*) AS n, sum(flow_id)::BIGINT AS ids "
+          f"FROM flows WHERE flow_id % {DEALT_FILES} < {FIRST_FILES} GROUP BY ALL")
+def csv_first_files(spark, sf):
+    """S3: of several CSV sources in order of their paths the first ones."""
+    df, header = _csv_frame(spark, sf)
+    path = scratch_path(spark, "flows-dealt")
+    paths = [f"{path}/{k}" for k in range(DEALT_FILES)]
+    for k, p in enumerate(paths):
+        csvsrc.write_flow_csv(df.where(F.col("flow_id").cast("long") % DEALT_FILES == k), p, header)
+    rows = csvsrc.read_flow_csvs(spark, paths[::-1], max_files=FIRST_FILES).select(F.col("flow_id").cast("long"))
+    return rows.groupBy((F.col("flow_id") % DEALT_FILES).cast("int").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("flow_id").alias("ids"))
