@@ -20,7 +20,8 @@ from flowspark.plans import fixtures as fx
 from flowspark.plans import sql as S
 from flowspark.plans.catalog import register
 from flowspark.session import scratch_path
-from flowspark.sources import csvsrc
+from flowspark.plans.training import prepare_for_scoring
+from flowspark.sources import bundle, csvsrc
 from flowspark.sources.flows import FLOW_FEATURES
 
 FHL = "Fwd Header Length"
@@ -167,3 +168,17 @@ def csv_first_files(spark, sf):
     rows = csvsrc.read_flow_csvs(spark, paths[::-1], max_files=FIRST_FILES).select(F.col("flow_id").cast("long"))
     return rows.groupBy((F.col("flow_id") % DEALT_FILES).cast("int").alias("file")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("flow_id").alias("ids"))
+
+
+@register("bundle_contract", S.with_chain(*S.CHAIN_SCALED) +
+          f"SELECT flow_id, {', '.join(S.q(n) for n in config.FEATURE_ORDER)} FROM scaled")
+def bundle_contract(spark, sf):
+    """The fitted scaler and parameters are published with the
+    features in reverse, read again, and prepare flows in the order they name."""
+    path = scratch_path(spark, "bundle")
+    saved = bundle.Contract(fx.scaled_flows(spark, sf).params, list(reversed(config.FEATURE_ORDER)),
+                            list(config.LOG1P_COLUMNS), [], config.ATTACK_THRESHOLD)
+    bundle.publish(spark, path, lambda version: bundle.save_contract(spark, saved, version))
+    c = bundle.load_contract(spark, bundle.published(spark, path))
+    packed = prepare_for_scoring(fx.flow_table(spark, sf), c.scaler, ("flow_id",), c.order, c.log1p)
+    return prep.unpack(packed, c.order).select("flow_id", *[prep.fcol(n) for n in config.FEATURE_ORDER])

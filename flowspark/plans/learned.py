@@ -134,7 +134,8 @@ def retrain(spark, sf):
     path = scratch_path(spark, "bundle")
     save_bundle(spark, b, path)
     loaded = load_bundle(spark, path)
-    s = md.score_two_stage(spark, b.data, loaded.binary, loaded.attack, loaded.auto, link=loaded.link)
+    s = md.score_two_stage(spark, b.data, loaded.binary, loaded.attack, loaded.auto,
+                           threshold=loaded.threshold, link=loaded.link)
     return m.summary_percent(s)
 
 

@@ -14,6 +14,7 @@ background is 200 rows (X2).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
@@ -45,16 +46,24 @@ class Bundle:
     auto: ae.AEModel | None
     extras: dict = field(default_factory=dict)
     link: IsotonicRegressionModel | None = None     # probability by margin of the binary model
+    order: list[str] = field(default_factory=lambda: list(config.FEATURE_ORDER))
+    log1p: list[str] = field(default_factory=lambda: list(config.LOG1P_COLUMNS))
+    threshold: float = config.ATTACK_THRESHOLD
 
+    def prepare(self, raw: DataFrame, keep: tuple[str, ...] = ("flow_id", config.LABEL_NAME)) -> DataFrame:
+        """New flows -> the model input, by the bundle's own contract."""
+        return prepare_for_scoring(raw, self.params, keep, self.order, self.log1p)
 
-def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.LABEL_NAME
+
+def prepared_table(spark: SparkSession, raw: DataFrame, label_col: str = config.LABEL_NAME,
+                   order: Sequence[str] = config.FEATURE_ORDER, log1p: Sequence[str] = config.LOG1P_COLUMNS
                    ) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
     """Prepare, fit the scaler, scale, pack, split; the prepared flows are
     written once, for the scaler's passes and its application."""
-    prepared = write_table(spark, prep.prepare(raw, keep=("flow_id", label_col)), "prepared")
-    absent = [n for n in config.FEATURE_ORDER if n not in set(raw.columns)]
-    params = sc.scaler_params(sc.fit_scaler(prepared, absent=absent))
-    return split_table(prep.pack(sc.apply_scaler(prepared, params)), label_col), params
+    prepared = write_table(spark, prep.prepare(raw, ("flow_id", label_col), order, log1p), "prepared")
+    absent = [n for n in order if n not in set(raw.columns)]
+    params = sc.scaler_params(sc.fit_scaler(prepared, order, absent))
+    return split_table(prep.pack(sc.apply_scaler(prepared, params, order), order), label_col), params
 
 
 def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) -> DataFrame:
@@ -70,22 +79,25 @@ def split_table(scaled_packed: DataFrame, label_col: str = config.LABEL_NAME) ->
 
 
 def train_autoencoder(spark: SparkSession, data: DataFrame, label_col: str = config.LABEL_NAME,
-                      epochs: int = config.AE_MAX_EPOCHS) -> ae.AEModel:
+                      epochs: int = config.AE_MAX_EPOCHS, width: int = len(config.FEATURE_ORDER)) -> ae.AEModel:
     """M7/M9: weights on a bounded sample of BENIGN rows (F2, X1), 80/20 (X4);
     threshold on all BENIGN rows of the validation split."""
     benign = data.where(F.col(label_col) == config.BENIGN).select("flow_id", "features")
     split = smp.split_random(smp.sample_exact(benign, config.AE_SAMPLE_ROWS))
     tr, va = split.where(~F.col("is_val")), split.where(F.col("is_val"))
-    model = ae.train(spark, tr, va, len(config.FEATURE_ORDER), epochs=epochs, shards=config.AE_SHARDS)
+    model = ae.train(spark, tr, va, width, epochs=epochs, shards=config.AE_SHARDS)
     ae.fit_threshold(spark, model, smp.split_random(benign).where(F.col("is_val")))
     return model
 
 
 def train(spark: SparkSession, raw: DataFrame, gbt: md.GbtParams = CONTRACT_GBT,
-          with_autoencoder: bool = True, label_col: str = config.LABEL_NAME) -> Bundle:
-    """M12 from raw flows."""
-    data, params = prepared_table(spark, raw, label_col)
-    return train_prepared(spark, data, params, gbt, with_autoencoder, label_col)
+          with_autoencoder: bool = True, label_col: str = config.LABEL_NAME,
+          order: Sequence[str] = config.FEATURE_ORDER, log1p: Sequence[str] = config.LOG1P_COLUMNS) -> Bundle:
+    """M12 from raw flows; ``order`` and ``log1p`` (S6) stay with the bundle."""
+    data, params = prepared_table(spark, raw, label_col, order, log1p)
+    b = train_prepared(spark, data, params, gbt, with_autoencoder, label_col)
+    b.order, b.log1p = list(order), list(log1p)
+    return b
 
 
 def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple[float, float]],
@@ -94,7 +106,7 @@ def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple
     """M12 from the split, packed, scaled table (stage seconds in ``extras``)."""
     import time
     t0 = time.time()
-    auto = train_autoencoder(spark, data, label_col) if with_autoencoder else None
+    auto = train_autoencoder(spark, data, label_col, width=len(params)) if with_autoencoder else None
     t1 = time.time()
     vec = md.with_vector(data).withColumn("y", rt.binary_target(F.col(label_col)).cast("double"))
     # the link's rows are neither trained on nor reported on; a seed of their
@@ -129,11 +141,13 @@ def score(spark: SparkSession, b: Bundle, df: DataFrame | None = None,
           inclusive: bool = False) -> DataFrame:
     """Two-stage scoring of the prepared rows (default: every labelled flow)."""
     d = b.data if df is None else df
-    return md.score_two_stage(spark, d, b.binary, b.attack, b.auto, inclusive=inclusive,
+    return md.score_two_stage(spark, d, b.binary, b.attack, b.auto, threshold=b.threshold, inclusive=inclusive,
                               keep=("flow_id",), link=b.link)
 
 
 def prepare_for_scoring(raw: DataFrame, params: dict[str, tuple[float, float]],
-                        keep: tuple[str, ...] = ("flow_id", config.LABEL_NAME)) -> DataFrame:
+                        keep: tuple[str, ...] = ("flow_id", config.LABEL_NAME),
+                        order: Sequence[str] = config.FEATURE_ORDER,
+                        log1p: Sequence[str] = config.LOG1P_COLUMNS) -> DataFrame:
     """New flows -> the packed, scaled model input with the fitted scaler."""
-    return prep.pack(sc.apply_scaler(prep.prepare(raw, keep=keep), params))
+    return prep.pack(sc.apply_scaler(prep.prepare(raw, keep, order, log1p), params, order), order)

@@ -79,3 +79,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, by the file system of its path."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by the file system of its path; none if it is not there."""
+    if not table_exists(spark, path):
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
