@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ TEMPLATES = (
 
 def words(text: str) -> Column:
     """The words of a text, in order."""
-    w = F.split(F.lower(text_or_empty(text)), SEPARATORS)
+    w = F.split(F.translate(text_or_empty(text), ascii_uppercase, ascii_lowercase), SEPARATORS)
     # only the first and last piece of a split can be empty
     skip = F.when(F.element_at(w, 1) == "", 1).otherwise(0)
     cut = F.when((F.size(w) > 1) & (F.element_at(w, -1) == ""), 1).otherwise(0)

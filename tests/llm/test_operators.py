@@ -178,6 +178,11 @@ def test_fingerprints_by_definition(spark, documents):
         assert r.fp % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_license_words_lower_ascii_alone(spark):
+    df = spark.createDataFrame([("GPL \u00c0B 1\u212a\u0130x",)], "text string")
+    assert df.select(license.words("text").alias("w")).first().w == ["gpl", "\u00c0b", "1\u212a\u0130x"]
+
+
 def test_license_places(spark, documents):
     phrases = {label: p.split() for label, p in (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))}
     extra = spark.createDataFrame([(-1, "CC-BY x cc by;All rights reserved"), (-2, "Licensed under the Apache Licence, apache license Version")],
