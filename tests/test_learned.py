@@ -143,7 +143,7 @@ def test_bundle_round_trip(spark, bundle, tmp_shared):
     cols = ["flow_id", "Final_Prediction", "Binary_Route", "Confidence", "Anomaly"]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert loaded.params == bundle.params
-    assert loaded.extras["params"]["feature_order"] == config.FEATURE_ORDER
+    assert loaded.order == config.FEATURE_ORDER and loaded.threshold == config.ATTACK_THRESHOLD
 
 
 def test_stream_equals_batch(spark, bundle):
