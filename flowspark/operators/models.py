@@ -6,10 +6,10 @@
   rows held out of training (``probability[1]`` without one).  Early stopping follows the 10-round rule
   on the validation log loss: ``evaluateEachIteration`` gives the loss per
   round (one distributed pass), the best round is found on the driver (a
-  list of <= max_iter numbers), and the model is refitted with that many
-  rounds when it stopped early.
-* Attack type (M3/M5): ``OneVsRest(GBTClassifier)`` over the classes indexed
-  alphabetically (``StringIndexer``), trained on attack rows only.  Class
+  list of <= max_iter numbers), and the trees after it are cut off.
+* Attack type (M2/M3/M5): softmax boosting (:mod:`boosting`) over the classes
+  in alphabetical order, trained on attack rows only, with the same early
+  stopping.  ``OneVsRest(GBTClassifier)`` remains as the second form: its class
   margins ``m_k`` become probabilities ``sigmoid(2 m_k)`` normalised to sum 1.
 * Two-stage scoring (M6/M10): stage 1 for every row; the attack-routed rows
   alone go through stage 2 and the autoencoder (a filter, so the Python UDF
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from flowspark import config
 from flowspark.operators import autoencoder as ae
+from flowspark.operators import boosting as bo
 from flowspark.operators import route as rt
 
 VEC = "vec"
@@ -79,6 +80,20 @@ def early_stop_round(losses: list[float], patience: int) -> int:
     return best_i + 1
 
 
+def first_rounds(model: GBTClassificationModel, keep: int) -> GBTClassificationModel:
+    """The model as it was after ``keep`` rounds: a round's tree does not
+    depend on later ones."""
+    sc = SparkSession.active().sparkContext
+    jvm, java = sc._jvm, model._java_obj
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = sc._gateway.new_array(jvm.double, keep)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:keep], model.treeWeights[:keep])):
+        trees[i], weights[i] = tree, weight
+    short = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        model.uid, trees, weights, model.numFeatures, model.numClasses))
+    return model._copyValues(short)
+
+
 def fit_binary(train: DataFrame, val: DataFrame | None, params: GbtParams,
                label: str = "y") -> tuple[GBTClassificationModel, list[float]]:
     """M1/M2: binary model and its per-round validation losses."""
@@ -89,7 +104,7 @@ def fit_binary(train: DataFrame, val: DataFrame | None, params: GbtParams,
         losses = list(model.evaluateEachIteration(val))
         keep = early_stop_round(losses, params.early_stop)
         if keep < params.max_iter:
-            model = est.copy({est.maxIter: keep}).fit(train)
+            model = first_rounds(model, keep)
     return model, losses
 
 
@@ -148,13 +163,15 @@ def class_probs(raw: Column) -> Column:
     return F.transform(s, lambda x: x / F.aggregate(s, F.lit(0.0), lambda a, b: a + b))
 
 
-def score_attack(model: AttackModel, df: DataFrame) -> DataFrame:
+def score_attack(model: AttackModel | bo.SoftmaxModel, df: DataFrame) -> DataFrame:
+    if isinstance(model, bo.SoftmaxModel):
+        return df.withColumn("probs", bo.probs_col(df.sparkSession, model, F.col("features")))
     out = model.ovr.transform(df).withColumn("probs", class_probs(F.col("rawPrediction")))
     return out.drop("rawPrediction", "prediction")
 
 
 def score_two_stage(spark: SparkSession, df: DataFrame, binary: GBTClassificationModel,
-                    attack: AttackModel, auto: ae.AEModel | None = None,
+                    attack: AttackModel | bo.SoftmaxModel, auto: ae.AEModel | None = None,
                     threshold: float = config.ATTACK_THRESHOLD, inclusive: bool = False,
                     keep: tuple[str, ...] = ("flow_id",),
                     link: IsotonicRegressionModel | None = None) -> DataFrame:

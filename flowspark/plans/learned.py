@@ -28,6 +28,15 @@ def _val(b, binary: bool = False):
     return b.data.where(F.col("is_val_bin" if binary else "is_val"))
 
 
+def _attack_types(b, model):
+    """Probabilities and arg-max class of the hold-out attacks."""
+    atk = md.with_vector(_val(b)).where(F.col(config.LABEL_NAME) != config.BENIGN)
+    s = md.score_attack(model, atk)
+    classes = F.array(*[F.lit(c) for c in model.classes])
+    pred = F.element_at(classes, (rt.argmax_expr(F.col("probs")) + 1).cast("int"))
+    return s.select("flow_id", F.col(config.LABEL_NAME).alias("actual"), pred.alias("predicted"), "probs")
+
+
 @register("gbt_binary")
 def gbt_binary(spark, sf):
     """M1/M2/M4: binary model on the 80 % split (stratified by the binary
@@ -39,14 +48,26 @@ def gbt_binary(spark, sf):
 
 @register("ovr_attack")
 def ovr_attack(spark, sf):
-    """M3/M5: attack-type probabilities and arg-max class of hold-out attacks."""
+    """M3/M5, one-vs-rest form: attack-type probabilities and arg-max class of
+    hold-out attacks."""
+    return _attack_types(tr.bundle_for(spark, sf), tr.one_vs_rest_for(spark, sf))
+
+
+@register("softmax_attack")
+def softmax_attack(spark, sf):
+    """M2/M3/M5: the same of the softmax model that scoring uses."""
     b = tr.bundle_for(spark, sf)
-    atk = md.with_vector(_val(b)).where(F.col(config.LABEL_NAME) != config.BENIGN)
-    s = md.score_attack(b.attack, atk)
-    classes = F.array(*[F.lit(c) for c in b.attack.classes])
-    pred = F.element_at(classes, (rt.argmax_expr(F.col("probs")) + 1).cast("int"))
-    return s.select("flow_id", F.col(config.LABEL_NAME).alias("actual"), pred.alias("predicted"),
-                    "probs")
+    return _attack_types(b, b.attack)
+
+
+@register("attack_losses")
+def attack_losses(spark, sf):
+    """M2: validation log loss of the attack model by round; ``kept`` marks
+    the rounds of the model (round 0 is the prior)."""
+    a = tr.bundle_for(spark, sf).attack
+    kept = len(a.trees.feature)
+    return spark.createDataFrame([(i, float(v), i <= kept) for i, v in enumerate(a.losses)],
+                                 "round int, log_loss double, kept boolean")
 
 
 @register("two_stage_models")
@@ -155,11 +176,10 @@ def shap_binary(spark, sf):
 
 @register("shap_attack")
 def shap_attack(spark, sf):
-    """SHAP of the predicted class's one-vs-rest model, attack-routed flows."""
+    """SHAP of the predicted class's margin, attack-routed flows."""
     b = tr.bundle_for(spark, sf)
     bg = _background(b)
-    tables = {k: ts.build_tables(ts.read_trees(spark, mk), bg)
-              for k, mk in enumerate(b.attack.ovr.models)}
+    tables = {k: ts.build_tables(b.attack.nodes(k), bg) for k in range(len(b.attack.classes))}
     # only the route and class are needed: no autoencoder pass
     scored = md.score_two_stage(spark, b.data, b.binary, b.attack, None,
                                 keep=("flow_id", "features"), link=b.link)

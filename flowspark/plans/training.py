@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from flowspark import config
 from flowspark.operators import autoencoder as ae
+from flowspark.operators import boosting as bo
 from flowspark.operators import models as md
 from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
@@ -32,7 +33,7 @@ from flowspark.operators import scaler as sc
 from flowspark.session import write_table
 
 # The contract's training parameters (200 boosting rounds, early stopping of
-# the binary model): the default, and those of the registered queries.
+# both models): the default, and those of the registered queries.
 CONTRACT_GBT = md.GbtParams()
 
 
@@ -42,7 +43,7 @@ class Bundle:
     params: dict[str, tuple[float, float]]
     binary: GBTClassificationModel
     losses: list[float]
-    attack: md.AttackModel
+    attack: bo.SoftmaxModel
     auto: ae.AEModel | None
     extras: dict = field(default_factory=dict)
     link: IsotonicRegressionModel | None = None     # probability by margin of the binary model
@@ -117,7 +118,7 @@ def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple
     link = md.fit_link(binary, fitted.where(apart))
     t2 = time.time()
     attacks = vec.where(F.col(label_col) != config.BENIGN)
-    attack = md.fit_attack(attacks.where(~F.col("is_val")), gbt, label_col)
+    attack = bo.fit(attacks.where(~F.col("is_val")), attacks.where(F.col("is_val")), gbt, label_col)
     t3 = time.time()
     seconds = {"autoencoder": round(t1 - t0, 3), "binary": round(t2 - t1, 3),
                "attack": round(t3 - t2, 3)}
@@ -125,6 +126,7 @@ def train_prepared(spark: SparkSession, data: DataFrame, params: dict[str, tuple
 
 
 _CACHE: dict[tuple, Bundle] = {}
+_OVR: dict[tuple, md.AttackModel] = {}
 
 
 def bundle_for(spark: SparkSession, sf_dir: str) -> Bundle:
@@ -137,6 +139,16 @@ def bundle_for(spark: SparkSession, sf_dir: str) -> Bundle:
     return _CACHE[key]
 
 
+def one_vs_rest_for(spark: SparkSession, sf_dir: str) -> md.AttackModel:
+    """The second form of the attack model on the same split, trained where
+    it is asked for."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _OVR:
+        rows = bundle_for(spark, sf_dir).data.where((F.col(config.LABEL_NAME) != config.BENIGN) & ~F.col("is_val"))
+        _OVR[key] = md.fit_attack(md.with_vector(rows), CONTRACT_GBT)
+    return _OVR[key]
+
+
 def score(spark: SparkSession, b: Bundle, df: DataFrame | None = None,
           inclusive: bool = False) -> DataFrame:
     """Two-stage scoring of the prepared rows (default: every labelled flow)."""
