@@ -156,6 +156,8 @@ def _rows(matrix: np.ndarray) -> pa.Array:
 
 def fit_cuts(df: DataFrame, width: int, bins: int, col: str = "features") -> list[np.ndarray]:
     """At most ``bins - 1`` cuts a feature, each a value of it but the largest."""
+    if width == 0:
+        return []
     shares = [i / bins for i in range(1, bins)]
     wanted = []
     for i in range(width):

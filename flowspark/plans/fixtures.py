@@ -18,7 +18,7 @@ from flowspark import config
 from flowspark.operators import prepare as prep
 from flowspark.operators import route as rt
 from flowspark.operators import scaler as sc
-from flowspark.session import write_table
+from flowspark.session import scratch_path, write_table
 from flowspark.sources.flows import FLOW_FEATURES, flows, read_table
 
 # Per session and dataset (key: application, dataset, kind): the flow table,
@@ -61,15 +61,22 @@ class Scaled:
     scaler: DataFrame
 
 
+def flow_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the flow table's files."""
+    key = _key(spark, sf_dir, "flows")
+    if key not in _TABLES:
+        path = scratch_path(spark, "flows")
+        flows(spark, sf_dir).write.parquet(path)
+        _TABLES[key] = path
+    return _TABLES[key]
+
+
 def flow_table(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
     """The flow table (the pipeline's input), derived from the line items
     once per session and dataset and written as a parquet table in the
     shared folder: every query reads it (pruned to its columns) instead of
     re-running the two derivation shuffles."""
-    key = _key(spark, sf_dir, "flows")
-    if key not in _TABLES:
-        _TABLES[key] = write_table(spark, flows(spark, sf_dir), "flows")
-    t = _TABLES[key]
+    t = spark.read.parquet(flow_folder(spark, sf_dir))
     return t if with_label else t.drop(config.LABEL_NAME)
 
 

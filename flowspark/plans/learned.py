@@ -18,6 +18,7 @@ from flowspark.operators import models as md
 from flowspark.operators import route as rt
 from flowspark.operators import sampling as smp
 from flowspark.operators import treeshap as ts
+from flowspark.plans import sql as S
 from flowspark.plans import training as tr
 from flowspark.plans.catalog import register
 from flowspark.session import scratch_path
@@ -60,14 +61,83 @@ def softmax_attack(spark, sf):
     return _attack_types(b, b.attack)
 
 
-@register("attack_losses")
-def attack_losses(spark, sf):
-    """M2: validation log loss of the attack model by round; ``kept`` marks
-    the rounds of the model (round 0 is the prior)."""
-    a = tr.bundle_for(spark, sf).attack
-    kept = len(a.trees.feature)
-    return spark.createDataFrame([(i, float(v), i <= kept) for i, v in enumerate(a.losses)],
-                                 "round int, log_loss double, kept boolean")
+def _binary_holdout(b):
+    """``Actual, p_attack, Final_Prediction`` of the binary model's hold-out,
+    at the training decision p > 0.5."""
+    s = md.score_binary(b.binary, md.with_vector(_val(b, binary=True)), b.link)
+    return s.select(F.col(config.LABEL_NAME).alias("Actual"), "p_attack",
+                    F.when(rt.train_decision(F.col("p_attack")) == 1, F.lit(config.ATTACK))
+                    .otherwise(F.lit(config.BENIGN)).alias("Final_Prediction"))
+
+
+@register("holdout_confusion")
+def holdout_confusion(spark, sf):
+    """Hold-out confusion matrices of both models, zeros kept."""
+    b = tr.bundle_for(spark, sf)
+    two = m.confusion_binary(_binary_holdout(b), "Actual", "Final_Prediction").withColumn("model", F.lit("binary"))
+    types = _attack_types(b, b.attack).select(F.col("actual").alias("Actual"), F.col("predicted").alias("Final_Prediction"))
+    return two.unionByName(m.confusion_multiclass(types).withColumn("model", F.lit("attack")))
+
+
+@register("holdout_log_loss")
+def holdout_log_loss(spark, sf):
+    """Hold-out log loss of both models."""
+    b = tr.bundle_for(spark, sf)
+    two = m.log_loss_binary(_binary_holdout(b), rt.binary_target(F.col("Actual")), F.col("p_attack"))
+    names = F.array(*[F.lit(c) for c in b.attack.classes])
+    own = F.try_element_at("probs", F.array_position(names, F.col("actual")).cast("int"))
+    types = m.log_loss_multi(_attack_types(b, b.attack), F.coalesce(own, F.lit(0.0)))
+    return two.withColumn("model", F.lit("binary")).unionByName(types.withColumn("model", F.lit("attack")))
+
+
+def _held(by: str, rows: str) -> str:
+    """SQL: how many rows the stratified hold-out has."""
+    return (f"(SELECT CAST(sum(floor(n * CAST({config.VALIDATION_FRACTION} AS DOUBLE) + 0.5)) AS BIGINT) "
+            f"FROM (SELECT count(*) AS n FROM flows WHERE {rows} GROUP BY {by}))")
+
+
+_ALL = "(SELECT count(*) FROM flows WHERE \"Label\" IS NOT NULL)"
+
+
+@register("model_checks", S.with_chain(S.FLOWS_SQL.strip()) + f"""SELECT 'p_attack in range' AS "check",
+  {_held("\"Label\" = 'BENIGN'", '"Label" IS NOT NULL')} AS n, CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'class probabilities', {_held('"Label"', "\"Label\" <> 'BENIGN'")}, 0
+UNION ALL SELECT 'routes', {_ALL}, 0
+UNION ALL SELECT 'saved and loaded', {_ALL}, 0
+UNION ALL SELECT 'shap adds up', {_ALL}, 0""")
+def model_checks(spark, sf):
+    """M4-M6, E1, S9/S10 as rows that SQL foretells: how many rows each
+    property was tried on, and how many break it."""
+    from flowspark.sources.bundle import load_bundle, save_bundle
+    b = tr.bundle_for(spark, sf)
+
+    def check(name, rows, broken):
+        return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("violations")).select(
+            F.lit(name).alias("check"), "n", "violations")
+
+    p = F.col("p_attack")
+    total = F.aggregate("probs", F.lit(0.0), lambda a, v: a + v)
+    probs_wrong = (F.size("probs") != len(b.attack.classes)) | F.exists("probs", lambda v: (v < 0) | (v > 1)) | \
+        (F.abs(total - 1) > 1e-9)
+    routed = tr.score(spark, b)
+    to_benign = F.col("Binary_Route") == config.BENIGN
+    route_wrong = (to_benign != (p < b.threshold)) | (to_benign != (F.col("Final_Prediction") == config.BENIGN)) | \
+        (to_benign & F.col("Anomaly")) | (F.col("Confidence") < 0) | (F.col("Confidence") > 1)
+    path = scratch_path(spark, "bundle")
+    save_bundle(spark, b, path)
+    columns = ["flow_id", "p_attack", *rt.RESULT_COLUMNS]
+    again = tr.score(spark, load_bundle(spark, path), b.data).select(F.col("flow_id").alias("id"), *[
+        F.col(c).alias(f"{c}_loaded") for c in columns[1:]])
+    both = routed.select(*columns).join(again, F.col("flow_id") == F.col("id"), "full_outer")
+    differ = F.lit(False)
+    for c in columns[1:]:
+        differ = differ | ~F.col(c).eqNullSafe(F.col(f"{c}_loaded"))
+    phi = ts.explain(spark, b.data, {0: ts.build_tables(ts.read_trees(spark, b.binary), _background(b))})
+    gap = F.abs(F.aggregate("shap", F.lit(0.0), lambda a, v: a + v) - (F.col("margin") - F.col("base")))
+    return check("p_attack in range", _binary_holdout(b), p.isNull() | (p < 0) | (p > 1)) \
+        .union(check("class probabilities", _attack_types(b, b.attack), F.col("probs").isNull() | probs_wrong)) \
+        .union(check("routes", routed, route_wrong)).union(check("saved and loaded", both, differ)) \
+        .union(check("shap adds up", phi, gap > 1e-9))
 
 
 @register("two_stage_models")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from flowspark.plans import catalog, files, learned, streams  # noqa: F401
+    from flowspark.plans import catalog, files, learned, rawstream, streams  # noqa: F401
 
 
 def all_queries():
