@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from flowspark import config
 from flowspark.functions.cleaning import fcol
 from flowspark.operators.quantiles import exact_quantiles
+from flowspark.session import compiled_methods
 
 SCALER_SCHEMA = T.StructType([
     T.StructField("idx", T.IntegerType(), False),
@@ -80,6 +81,7 @@ def scaler_from_params(spark: SparkSession, params: dict[str, tuple[float, float
 def apply_scaler(prepared: DataFrame, params: dict[str, tuple[float, float]],
                  order: Sequence[str] = config.FEATURE_ORDER) -> DataFrame:
     """Scale every feature exactly once; result float32."""
+    compiled_methods(prepared.sparkSession)
     feats = set(order)
     others = [fcol(c) for c in prepared.columns if c not in feats]
     scaled = [((fcol(n) - F.lit(params[n][0])) / F.lit(params[n][1])).cast("float").alias(n)

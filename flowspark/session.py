@@ -37,6 +37,19 @@ def build_session(app: str = "flowspark", cpus: int | str | None = None,
     return spark
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+JIT_BYTES = 8000     # the JVM compiles no method whose bytecode is longer
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Lets a stage whose generated method is too long for the JVM's compiler
+    run as separate projections instead, which Spark splits into short
+    methods; with Spark's default such a stage runs interpreted.  A limit
+    that the session was given is left."""
+    if spark.conf.get(METHOD_LIMIT) == "65535":
+        spark.conf.set(METHOD_LIMIT, JIT_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 

@@ -125,3 +125,32 @@ def test_full_width_preparation_stays_in_codegen(spark):
     scaled = sc.apply_scaler(prep.prepare(raw), {n: (1.0, 2.0) for n in config.FEATURE_ORDER})
     plan = scaled._jdf.queryExecution().executedPlan().toString()
     assert len(scaled.columns) <= 100 and "*(" in plan      # WholeStageCodegen marker
+
+
+def test_wide_preparation_runs_as_compiled_methods(spark):
+    """The full-width stage is longer than what the JVM compiles, so it runs
+    as split projections, with the same values; a given limit is left."""
+    from flowspark.session import JIT_BYTES, METHOD_LIMIT
+    code = spark._jvm.org.apache.spark.sql.catalyst.expressions.codegen
+    assert JIT_BYTES == getattr(code, "CodeGenerator").DEFAULT_JVM_HUGE_METHOD_LIMIT()
+    raw = spark.range(200).select(F.col("id").alias("flow_id"), F.lit("BENIGN").alias("Label"), *[
+        ((F.hash("id", F.lit(i)) % 1000) / 7).alias(n) for i, n in enumerate(config.FEATURE_ORDER)]).cache()
+    params = {n: (float(i), 2.0) for i, n in enumerate(config.FEATURE_ORDER)}
+
+    def wide():
+        return sc.apply_scaler(prep.prepare(raw), params)
+
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        spark.conf.set(METHOD_LIMIT, "65535")
+        df = wide()
+        assert spark.conf.get(METHOD_LIMIT) == str(JIT_BYTES)
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert max(sizes) > JIT_BYTES
+        split = df.collect()
+        spark.conf.set(METHOD_LIMIT, "60000")
+        assert wide().collect() == split and spark.conf.get(METHOD_LIMIT) == "60000"
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+        raw.unpersist()
