@@ -132,3 +132,19 @@ def test_truncated_binary_model_is_the_shorter_fit(spark):
     short, ref = md.first_rounds(full, 2), md.gbt(md.GbtParams(max_iter=2, max_depth=2), "y").fit(df)
     raw = [[r[0] for r in m.transform(df).select("rawPrediction").collect()] for m in (short, ref)]
     assert short.getNumTrees == 2 and raw[0] == raw[1]
+
+
+def test_same_model_when_tasks_add_up_the_sums(frame, model, monkeypatch):
+    """Many tasks' sums are added by tasks, not by the driver; the model stays."""
+    monkeypatch.setattr(bo, "MAX_TO_DRIVER", 0)
+    monkeypatch.setattr(bo, "TASK_ROWS", 100)
+    other = bo.fit(frame.where("not v").repartition(6), frame.where("v"), md.GbtParams(max_iter=12, max_depth=3))
+    assert np.array_equal(other.trees.value, model.trees.value) and other.losses == model.losses
+
+
+def test_small_table_is_one_task_a_pass(frame, monkeypatch):
+    """Rounds are many short passes: a task for every few rows is all overhead."""
+    parts, sums = [], bo._level_sums
+    monkeypatch.setattr(bo, "_level_sums", lambda blocks, *a: parts.append(blocks.getNumPartitions()) or sums(blocks, *a))
+    bo.fit(frame.where("not v").repartition(6), frame.where("v"), md.GbtParams(max_iter=2, max_depth=2))
+    assert set(parts) == {1}

@@ -189,3 +189,20 @@ def test_fused_validation_matches_separate_pass(spark):
     assert len(h) <= 12 and (len(h) == 12 or not h[-1][3])
     assert ae.mean_error(spark, stopped, va_.select("features")) == pytest.approx(
         min(r[2] for r in h), rel=1e-6)
+
+
+def test_models_are_trained_when_asked_for(spark, monkeypatch):
+    """A query that needs one model waits for that one; several train together."""
+    import threading
+
+    from flowspark.plans import training as tr
+    b = tr.train_prepared(spark, None, {"a": (0.0, 1.0)})
+    meet, trained = threading.Barrier(2, timeout=20), []
+    monkeypatch.setattr(b, "_autoencoder", lambda: trained.append("autoencoder") or "auto")
+    monkeypatch.setattr(b, "_binary", lambda: meet.wait() is None or trained.append("binary") or ("model", [0.5], "link"))
+    monkeypatch.setattr(b, "_attack", lambda: meet.wait() is None or trained.append("attack") or "softmax")
+    assert b.auto == "auto" and trained == ["autoencoder"]
+    b.fit(*tr.MODELS)
+    assert sorted(trained) == ["attack", "autoencoder", "binary"] and b.auto == "auto"
+    assert (b.binary, b.losses, b.link, b.attack) == ("model", [0.5], "link", "softmax")
+    assert sorted(b.extras["seconds"]) == ["attack", "autoencoder", "binary"]
