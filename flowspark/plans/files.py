@@ -19,7 +19,7 @@ from flowspark.operators import route as rt
 from flowspark.plans import fixtures as fx
 from flowspark.plans import sql as S
 from flowspark.plans.catalog import register
-from flowspark.session import scratch_path
+from flowspark.session import folder_bytes, scratch_path
 from flowspark.plans.training import prepare_for_scoring
 from flowspark.sources import bundle, csvsrc
 from flowspark.sources.flows import FLOW_FEATURES
@@ -104,7 +104,8 @@ def results_json_sink(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-SPLIT_BYTES = 64 * 1024     # of the second read: files are cut into many tasks
+SPLIT_BYTES = 64 * 1024     # of the second read, at least: files are cut into many tasks
+SPLITS = 2048               # about this many tasks of the second read at most
 FLOW_NUMBER = 'CAST(row_number() OVER (ORDER BY flow_id) - 1 AS BIGINT)'
 
 
@@ -118,6 +119,12 @@ def _ordered_csv(spark, sf):
     return csvsrc.list_files(spark, path, ".csv")
 
 
+def small_splits(total: int) -> int:
+    """Bytes of the second read's splits: a task for every few rows of a large
+    table would take longer than the rows."""
+    return max(SPLIT_BYTES, -(-total // SPLITS))
+
+
 @register("csv_row_ids", S.with_chain(S.FLOWS_SQL.strip()) +
           f"SELECT {FLOW_NUMBER} AS row_id, {FLOW_NUMBER} AS row_id_small_splits, flow_id FROM flows")
 def csv_row_ids(spark, sf):
@@ -131,7 +138,8 @@ def csv_row_ids(spark, sf):
 
     whole = read("row_id")
     usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    total = folder_bytes(spark, paths[0].rsplit("/", 1)[0]) if paths else 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(small_splits(total)))
     try:
         small = read("row_id_small_splits")      # its scan runs here: rows with numbers are written
     finally:

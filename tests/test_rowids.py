@@ -69,3 +69,10 @@ def test_running_sums_over_levels(spark, block):
     got = {r.b: r.x for r in monitor.running_sum(df, "b", ["x"], block=block).collect()}
     assert got == dict(zip((k for k, _ in rows), itertools.accumulate(x for _, x in rows)))
     assert monitor.running_sum(df.limit(0), "b", ["x"], block=block).count() == 0
+
+
+def test_small_splits_are_bounded_in_number():
+    from flowspark.plans import files as fl
+    assert fl.small_splits(0) == fl.small_splits(1_000_000) == fl.SPLIT_BYTES
+    for total in (10 ** 9, 10 ** 10, 10 ** 12 + 1):
+        assert -(-total // fl.small_splits(total)) <= fl.SPLITS
