@@ -27,6 +27,8 @@ def duck(sf_dir: str):
 def _norm(v):
     if v is None:
         return None
+    if v is pd.NA:      # a null whole number; a null in a float column is NaN
+        return "nan"
     if isinstance(v, (float, np.floating)):
         f = float(v)
         if math.isnan(f):
