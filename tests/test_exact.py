@@ -48,6 +48,24 @@ def test_quantiles_are_exact(spark, monkeypatch, k, margin):
         assert got[c] == pytest.approx(np.quantile(v, [0.25, 0.5, 0.75, 0.999]).tolist(), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_read_the_rows_twice(spark):
+    """Once for the sketches, once for the counts and the values inside the
+    brackets, which may overlap."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rng = np.random.default_rng(5)
+    v, w = rng.normal(size=4000), rng.integers(0, 4, 4000).astype(float)
+    df = spark.createDataFrame(list(zip(v.tolist(), w.tolist())), "v double, w double").mapInArrow(counted, "v double, w double")
+    probs = (0.25, 0.252, 0.5)
+    got = qt.exact_quantiles(df, ["v", "w"], probs)
+    assert got["v"] == pytest.approx(np.quantile(v, probs).tolist(), rel=1e-12) and got["w"] == np.quantile(w, probs).tolist()
+    assert seen.value == 2 * 4000
+
+
 def test_quantiles_of_few_rows(spark):
     df = spark.createDataFrame([(1.0,), (2.0,)], "v double")
     assert qt.exact_quantiles(df, ["v"]) == {"v": [1.25, 1.5, 1.75]}

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from flowspark import config
 from flowspark.operators import metrics as m
 from flowspark.operators import route as rt
+from tests.conftest import SF_SMALL
 
 CLASSES = ["Bot", "DDoS", "PortScan"]
 
@@ -108,3 +110,22 @@ def test_reports_without_attacks_or_rows(spark):
     assert m.anomaly_rate(empty.withColumn("e", F.lit(1.0)), "e", 0.5).first().rate_pct is None
     rep = m.classification_report(empty, "Actual", "Final_Prediction").collect()
     assert [r["class"] for r in rep] == ["accuracy", "macro avg", "weighted avg"]
+
+
+def test_reconstruction_error_of_columns_equals_that_of_arrays(spark):
+    rows = [(1.5, -2.0, 0.1, 1.0, 0.3, 7.0), (1e9, 3.25, 0.0, -1e9, 0.7, 0.1), (None, 1.0, 2.0, 3.0, 4.0, 5.0)]
+    df = spark.createDataFrame(rows, "a float, b float, c float, x double, y double, z double")
+    x, r = [F.col(c) for c in "abc"], [F.col(c) for c in "xyz"]
+    for got in df.select(rt.recon_mse(x, r).alias("one"), rt.recon_mse(F.array(*x), F.array(*r)).alias("two")).collect():
+        assert got["one"] == got["two"]
+
+
+def test_prepared_table_writes_no_absent_feature(spark):
+    from flowspark.plans import fixtures as fx
+    t = fx.prepared_table(spark, SF_SMALL)
+    assert [c for c in t.columns if c in set(config.FEATURE_ORDER)] == config.FEATURE_ORDER
+    written = set(spark.read.parquet(t.inputFiles()[0]).columns)
+    assert written.isdisjoint(fx.ABSENT) and written | set(fx.ABSENT) >= set(config.FEATURE_ORDER)
+    whole = fx.prepared_flows(spark, SF_SMALL)
+    assert t.dtypes == whole.dtypes
+    assert t.exceptAll(whole).isEmpty() and whole.exceptAll(t).isEmpty()
