@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 
+from flowspark.sources import flows as fl
 from flowspark.sources.flows import flow_stats
 
 PER_ITEM_SQL = """
@@ -62,3 +63,38 @@ def test_hot_order_matches_per_item_window(spark):
         assert np.allclose(g, w, rtol=1e-9, atol=1e-9, equal_nan=True), c
     assert got.loc[7, "iatn"] == 0.0 and got.loc[7, "nf"] + got.loc[7, "nb"] == 3000
     assert np.isnan(got.loc[9, "sd"]) or got.loc[9, "sd"] is None
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "l_orderkey long, l_quantity double, l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz")
+
+
+def test_both_forms_agree(spark, monkeypatch):
+    """Orders dealt whole and orders summed by day first: the same statistics,
+    with null days, lengths and keys, and in the partitions asked for."""
+    day = dt.datetime(1996, 3, 1)
+    rows = [(k % 40, None if k % 11 == 0 else float(k % 7), "OFX"[k % 3], "AN"[k % 2],
+             None if k % 5 == 0 else day + dt.timedelta(days=k * k % 9)) for k in range(400)]
+    rows += [(None, 2.0, "O", "A", day), (None, 3.0, None, None, None), (99, 1.0, "F", "A", None)]
+    li = _frame(spark, rows)
+    whole = flow_stats(li, 5)
+    assert whole.rdd.getNumPartitions() == 5
+    monkeypatch.setattr(fl, "HOT_ITEMS", 9)            # orders of ten items are hot
+    mixed = flow_stats(li, 5)
+    assert mixed.columns == whole.columns and mixed.rdd.getNumPartitions() == 5
+    key = lambda r: (r["k"] is None, r["k"] or 0)
+    for a, b in zip(sorted(whole.collect(), key=key), sorted(mixed.collect(), key=key), strict=True):
+        for c in whole.columns:
+            x, y = a[c], b[c]
+            assert (x is None) == (y is None) and (x is None or np.isclose(x, y, rtol=1e-12, atol=1e-12)), (a["k"], c, x, y)
+
+
+def test_a_hot_order_does_not_reach_one_task_whole(spark, monkeypatch):
+    seen = []
+    by_day = fl._stats_by_day
+    monkeypatch.setattr(fl, "HOT_ITEMS", 1000)
+    monkeypatch.setattr(fl, "_stats_by_day", lambda li: seen.append({r["k"] for r in li.select("k").distinct().collect()}) or by_day(li))
+    day = dt.datetime(1996, 3, 1)
+    li = _frame(spark, [(7 if i < 1500 else i, 1.0, "O", "A", day) for i in range(3000)])
+    got = {r["k"]: r["n_items"] for r in flow_stats(li, 4).collect()}
+    assert got[7] == 1500 and len(got) == 1501 and len(seen) == 1 and 7 in seen[0] and len(seen[0]) < 100
