@@ -15,14 +15,15 @@ first occurrence.
 
 Repeated strings among these contexts come from their Burrows-Wheeler
 transform: the contexts of a bucket of hashes arrive in shards, each shard's
-transform is built on its own, and the transforms are merged by refining an
-interleave vector: one pass reads the transforms in the interleaved order and
+transform is built on its own, and the transforms are merged by refining
+their interleaved order: one pass reads the transforms in that order and
 deals each suffix to the place of its preceding symbol, which sorts the
 merged suffixes by one symbol more.  Places where a new prefix begins are
 carried along, so after ``LENGTH`` passes the intervals between them are the
 suffixes with a common prefix of ``LENGTH`` bytes: all but the earliest of an
-interval are repeats.  No suffix is sorted again, and no match crosses the
-end of a context.
+interval are repeats.  A suffix alone in its interval is left out of the later
+passes: what precedes it is alone as well.  No match crosses the end of a
+context.
 
 A hash with more than ``BUCKET`` different contexts (at the edge of a passage
 that many documents hold, there is one for each neighbourhood) is not merged in
@@ -162,62 +163,47 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return before[order].astype(np.uint16), order
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray]], marks: list[int], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave vector (the shard of each merged suffix) and where a new
-    prefix of ``length`` symbols begins, by refinement from one symbol to the
-    next.  ``marks`` has the number of strings of each shard."""
-    total = sum(len(b) for b, _ in shards)
+def merge(shards: list[tuple[np.ndarray, np.ndarray]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes, by their numbers over all shards, that share a prefix of
+    ``length`` symbols with another, in merged order, and the interval of
+    each; by refinement from one symbol to the next."""
+    ends = np.cumsum([0] + [len(b) for b, _ in shards])
     # small integers, which numpy sorts by counting
-    small = np.uint8 if len(shards) <= 256 else np.uint16
-    z = np.concatenate([np.full(len(b), k, small) for k, (b, _) in enumerate(shards)])
-    fixed = np.concatenate([np.full(k, i, small) for i, k in enumerate(marks)])
-    m = len(fixed)
-    new = np.zeros(total, bool)
-    new[0] = True
     symbols = np.concatenate([b for b, _ in shards])
-    used = np.unique(symbols)
+    used = np.unique(np.append(symbols, 0))
     symbols = np.searchsorted(used, symbols).astype(np.uint8 if len(used) <= 256 else np.uint16)
+    # the suffix that begins with the symbol before: in each shard's order, as all suffixes are sorted
+    before = np.empty(len(symbols), np.int64)
+    for a, b in zip(ends, ends[1:]):
+        before[a + np.argsort(symbols[a:b], kind="stable")] = np.arange(a, b)
+    suffix, interval = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
     for _ in range(length):
-        # the transforms in interleaved order: each shard is read from its start
-        by_shard = np.argsort(z, kind="stable")
-        symbol = np.empty(total, symbols.dtype)
-        symbol[by_shard] = symbols
+        symbol = symbols[suffix]
         order = np.argsort(symbol, kind="stable")
-        block = np.cumsum(new, dtype=np.int32)[order]
-        s = symbol[order]
-        again = np.concatenate([[True], (s[1:] != s[:-1]) | (block[1:] != block[:-1])])
-        again[:m] = True                   # end marks are all different
-        if m < total:
-            again[m] = True
-        after = z[order]
-        after[:m] = fixed
-        done = (again == new).all() and (after == z).all()
-        z, new = after, again
-        if done:
+        order = order[np.count_nonzero(symbol == 0):]      # end marks are all different
+        suffix, symbol, interval = before[suffix[order]], symbol[order], interval[order]
+        new = np.ones(len(suffix) + 1, bool)
+        new[1:-1] = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
+        many = ~(new[1:] & new[:-1])
+        suffix, interval = suffix[many], np.cumsum(new[:-1])[many]
+        if not len(suffix):
             break
-    return z, new
+    return suffix, interval
 
 
 def repeated(strings: list[bytes], place: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(string, offset) of every window of LENGTH bytes that also stands at
     an earlier (place, start) among the strings."""
-    shards, marks, where = [], [], []
+    shards, where = [], []
     for a in range(0, len(strings), SHARD):
         part = strings[a:a + SHARD]
         shards.append(shard_transform(part))
-        marks.append(len(part))
         base = np.cumsum([0] + [len(s) + 1 for s in part])
         at = shards[-1][1]
         string = np.searchsorted(base, at, "right") - 1
         where.append((string + a, at - base[string]))
-    z, new = merge(shards, marks)
-    by_shard = np.argsort(z, kind="stable")
-    string, offset = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-    string[by_shard] = np.concatenate([w[0] for w in where])
-    offset[by_shard] = np.concatenate([w[1] for w in where])
-    interval = np.cumsum(new)
-    many = np.bincount(interval)[interval] > 1
-    string, offset, interval = string[many], offset[many], interval[many]
+    suffix, interval = merge(shards)
+    string, offset = (np.concatenate(w)[suffix] for w in zip(*where))
     order = np.lexsort((start[string] + offset, place[string], interval))
     string, offset, interval = string[order], offset[order], interval[order]
     # contexts of one text may share windows: the same place is no repeat

@@ -211,6 +211,31 @@ def _cut(docs):
     return out
 
 
+def test_merged_transforms_keep_shared_suffixes_alone():
+    """Suffixes whose prefix no other one has are left out; the intervals of
+    the others are their equal prefixes, in order."""
+    rng = np.random.default_rng(8)
+    strings = [bytes(rng.integers(97, 99, int(n), dtype=np.uint8)) for n in rng.integers(30, 60, 30)] + [b"\xff" * 60, b"\x00" * 50, b""]
+    for length in (1, 4, 9):
+        shards, names, at = [], [], 0
+        for a in range(0, len(strings), 5):
+            part = strings[a:a + 5]
+            shards.append(suffixdup.shard_transform(part))
+            base = np.cumsum([0] + [len(x) + 1 for x in part])
+            for p in shards[-1][1].tolist():
+                k = int(np.searchsorted(base, p, "right")) - 1
+                names.append((a + k, p - int(base[k])))
+        suffix, interval = suffixdup.merge(shards, length)
+        got = {}
+        for n, i in zip(suffix.tolist(), interval.tolist()):
+            k, o = names[n]
+            got.setdefault(i, []).append(strings[k][o:o + length])
+        prefixes = [x[o:o + length] for x in strings for o in range(len(x) - length + 1)]
+        want = sorted(p for p in set(prefixes) if prefixes.count(p) > 1)
+        assert [set(v) for _, v in sorted(got.items())] == [{p} for p in want]
+        assert sum(map(len, got.values())) == sum(prefixes.count(p) for p in want)
+
+
 def test_repeats(spark, documents, monkeypatch):
     docs = [(r.doc_id, r.text) for r in documents.collect()] + [(1000, "xy" * 70), (1001, "z" * 300), (1002, "a" * 99)]
     rows = spark.createDataFrame(docs, "doc_id long, text string")
