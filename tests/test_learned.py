@@ -191,6 +191,36 @@ def test_fused_validation_matches_separate_pass(spark):
         min(r[2] for r in h), rel=1e-6)
 
 
+def _benign_rows(spark, n=2000, width=6):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(n, 2))
+    x = np.concatenate([base, base @ rng.normal(size=(2, width - 2))], axis=1)
+    return spark.createDataFrame([(i, "BENIGN" if i % 4 else "Bot", [float(v) for v in r]) for i, r in enumerate(x)],
+                                 "flow_id long, Label string, features array<float>")
+
+
+def test_autoencoder_is_trained_on_all_benign_rows(spark, monkeypatch):
+    """The smallest sample keys are those of the validation split: a sample
+    that is far smaller than the table had no row to train on."""
+    from flowspark.plans import training as tr
+    monkeypatch.setattr(config, "AE_SAMPLE_ROWS", 100, raising=False)
+    seen, train = [], ae.train
+    monkeypatch.setattr(ae, "train", lambda spark, t, v, *a, **k: seen.extend([t.count(), v.count()]) or train(spark, t, v, *a, **k))
+    model = tr.train_autoencoder(spark, _benign_rows(spark), epochs=3, width=6)
+    assert sum(seen) == 1500 and model.validation["n"] == seen[1]
+    assert all(h[1] > 0 for h in model.history) and model.history[-1][2] < model.history[0][2]
+
+
+def test_more_benign_rows_are_more_shards(spark, monkeypatch):
+    from flowspark.plans import training as tr
+    shards, train = [], ae.train
+    monkeypatch.setattr(ae, "train", lambda *a, **k: shards.append(k["shards"]) or train(*a, **k))
+    for rows in (100_000, 150):
+        monkeypatch.setattr(config, "AE_SHARD_ROWS", rows)
+        tr.train_autoencoder(spark, _benign_rows(spark), epochs=1, width=6)
+    assert shards == [config.AE_SHARDS, 10]
+
+
 def test_models_are_trained_when_asked_for(spark, monkeypatch):
     """A query that needs one model waits for that one; several train together."""
     import threading
