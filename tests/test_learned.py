@@ -211,6 +211,19 @@ def test_autoencoder_is_trained_on_all_benign_rows(spark, monkeypatch):
     assert all(h[1] > 0 for h in model.history) and model.history[-1][2] < model.history[0][2]
 
 
+def test_failed_autoencoder_is_no_model(spark):
+    """Nothing to train on, nothing to validate on, diverged: errors, not
+    weights that were never fitted."""
+    rows = _benign_rows(spark, 200).select("flow_id", "features")
+    none = rows.where("flow_id < 0")
+    for train, val, said in ((none, rows, "no training rows"), (none, none, "no training rows"), (rows, none, "no validation rows")):
+        with pytest.raises(ValueError, match=said):
+            ae.train(spark, train, val, 6, epochs=2, shards=2)
+    huge = rows.select("flow_id", F.transform("features", lambda v: v * 1e30).alias("features"))
+    with np.errstate(all="ignore"), pytest.raises(ArithmeticError, match="diverged"):
+        ae.train(spark, huge, huge, 6, epochs=3, shards=2)
+
+
 def test_more_benign_rows_are_more_shards(spark, monkeypatch):
     from flowspark.plans import training as tr
     shards, train = [], ae.train
