@@ -148,3 +148,36 @@ def test_small_table_is_one_task_a_pass(frame, monkeypatch):
     monkeypatch.setattr(bo, "_level_sums", lambda blocks, *a: parts.append(blocks.getNumPartitions()) or sums(blocks, *a))
     bo.fit(frame.where("not v").repartition(6), frame.where("v"), md.GbtParams(max_iter=2, max_depth=2))
     assert set(parts) == {1}
+
+
+def test_walk_and_tables_by_brute_force():
+    """Places among a level's nodes and sums by (node, feature, bin), with an
+    odd number of features, for few rows (one feature a table) and many (two)."""
+    rng = np.random.default_rng(4)
+    for n in (50, 40_000):
+        bins = rng.integers(0, 6, size=(5, n)).astype(np.uint8)
+        feature, cut = rng.integers(0, 5, 15).astype(np.int16), rng.integers(0, 5, 15).astype(np.uint8)
+        feature[[2, 3]] = bo.LEAF
+        stop = bo.ends(feature, 3)
+        place = bo.places_of(feature, cut, bins, 3)
+        for row in range(0, n, max(1, n // 50)):
+            i = 0
+            while i < 7 and feature[i] != bo.LEAF:
+                i = 2 * i + 1 + int(bins[feature[i], row] > cut[i])
+            assert stop[place[row]] == i
+        w = rng.integers(-9, 9, n).astype(float)
+        t = bo._tables(bins, place, (w, None), 8, 6)
+        for node, f, b in ((0, 0, 0), (3, 4, 5), (7, 2, 1), (5, 3, 3)):
+            here = (place == node) & (bins[f] == b)
+            assert t[0, node, f, b] == w[here].sum() and t[1, node, f, b] == here.sum()
+
+
+def test_constant_features_are_neither_cut_nor_kept(spark, frame, monkeypatch):
+    """Most of a table's 78 features may be absent: no quantiles, no bytes a row."""
+    asked, kept = [], []
+    quantiles, sums = F.percentile_approx, bo._level_sums
+    monkeypatch.setattr(bo.F, "percentile_approx", lambda *a: asked.append(1) or quantiles(*a))
+    monkeypatch.setattr(bo, "_level_sums", lambda blocks, *a: kept.append(blocks.first().bins.shape[0]) or sums(blocks, *a))
+    m = bo.fit(frame.where("not v"), frame.where("v"), md.GbtParams(max_iter=1, max_depth=2))
+    assert len(asked) == 3 and set(kept) == {3} and len(m.cuts) == 4 and len(m.cuts[3]) == 0
+    assert set(np.unique(m.trees.feature)) <= {bo.LEAF, 0, 1, 2}
