@@ -85,6 +85,51 @@ def test_treeshap_matches_brute_force(spark):
     assert np.allclose(margin, raw, atol=1e-9)
 
 
+def _random_tree(rng, depth, width):
+    nodes = {}
+
+    def grow(d):
+        i = len(nodes)
+        nodes[i] = None
+        if d == 0 or (d < depth and rng.random() < 0.1):
+            nodes[i] = (None, None, -1, -1, float(rng.normal()))
+        else:
+            left, right = grow(d - 1), grow(d - 1)
+            nodes[i] = (int(rng.integers(width)), float(rng.normal()), left, right, 0.0)
+        return i
+
+    grow(depth)
+    return nodes
+
+
+def _leaf_by_leaf(lt, x):
+    """Each leaf's own table, one after another."""
+    phi, margin = np.zeros(x.shape), np.zeros(len(x))
+    for leaf in range(len(lt.values)):
+        met = (x[:, lt.feats[leaf]] > lt.lo[leaf]) & (x[:, lt.feats[leaf]] <= lt.hi[leaf])
+        pattern = (met << np.arange(met.shape[1])).sum(axis=1)
+        for j, f in enumerate(lt.feats[leaf]):
+            phi[:, f] += lt.table[leaf][pattern, j]
+        margin += met.all(axis=1) * lt.values[leaf]
+    return phi, margin
+
+
+@pytest.mark.parametrize("most", [9, 3])
+def test_leaves_looked_up_in_groups(monkeypatch, most):
+    """Groups of leaves give the sums of their leaves, also where a leaf has
+    more tests than a group may have; there are far fewer groups."""
+    monkeypatch.setattr(ts, "MAX_TESTS", most)
+    rng = np.random.default_rng(2)
+    trees = [(0.1, _random_tree(rng, 5, 6)) for _ in range(6)] + [(1.0, {0: (None, None, -1, -1, 0.5)})]
+    x = np.round(rng.normal(size=(500, 7)), 1)
+    x[:40, 0] = trees[0][1][0][1]                      # on a threshold
+    lt = ts.build_tables(trees, x[:30])
+    phi, margin = ts.explain_matrix(lt, x)
+    assert np.allclose(phi, _leaf_by_leaf(lt, x)[0], atol=1e-12) and np.allclose(margin, _leaf_by_leaf(lt, x)[1], atol=1e-12)
+    if most == 9:
+        assert len(ts.group_leaves(lt).groups) * 4 < len(lt.values)
+
+
 def test_shap_additivity_on_trained_model(spark, bundle):
     tables = {0: ts.build_tables(ts.read_trees(spark, bundle.binary),
                                  ts.background_matrix(bundle.data.limit(50)))}
