@@ -181,3 +181,25 @@ def test_constant_features_are_neither_cut_nor_kept(spark, frame, monkeypatch):
     m = bo.fit(frame.where("not v"), frame.where("v"), md.GbtParams(max_iter=1, max_depth=2))
     assert len(asked) == 3 and set(kept) == {3} and len(m.cuts) == 4 and len(m.cuts[3]) == 0
     assert set(np.unique(m.trees.feature)) <= {bo.LEAF, 0, 1, 2}
+
+
+def test_only_the_smaller_child_is_counted(frame, monkeypatch):
+    """The other child is what remains: the same sums as if both were counted."""
+    seen, sums = [], bo._level_sums
+
+    def both(blocks, grown, level, round_no, used, n_bins, fraction, counted):
+        every = np.ones_like(counted)
+        found = sums(blocks, grown, level, round_no, used, n_bins, fraction, counted)
+        whole = sums(blocks, grown, level, round_no, used, n_bins, fraction, every)[0].reshape(3, len(counted), 1 << level, -1)
+        part = found[0].reshape(whole.shape)
+        if level:
+            above = seen[-1][1]
+            k, j = np.argwhere(counted).T
+            assert (whole[2, k, j].sum(axis=1) <= whole[2, k, j ^ 1].sum(axis=1)).all() and not part[:, ~counted].any()
+            assert np.array_equal(above[:, k, j >> 1] - part[:, k, j], whole[:, k, j ^ 1])
+        seen.append((level, whole))
+        return found
+
+    monkeypatch.setattr(bo, "_level_sums", both)
+    bo.fit(frame.where("not v"), None, md.GbtParams(max_iter=2, max_depth=3))
+    assert [level for level, _ in seen] == [0, 1, 2] * 2
